@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces
-from .common import read
+from . import neardup, pieces
+from .common import Scratch, read
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -23,9 +23,39 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_decode(docs, pieces.model_bytes(tokenizer_path())))
 
 
+def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, Scratch(spark, "op10"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_pieces": op6_pieces}
+    return {"op6_pieces": op6_pieces, "op10_neardup": op10_neardup}
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP10_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN []::VARCHAR[]
+    WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w
+), e AS (SELECT doc_id, unnest(sh) AS x FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b
+  WHERE 100 * both >= 75 * (len(sa.sh) + len(sb.sh) - both)
+), reach AS (
+  SELECT doc_id, doc_id AS root FROM documents
+  UNION
+  SELECT r.doc_id, t.v FROM reach r JOIN (SELECT a AS u, b AS v FROM l UNION ALL SELECT b, a FROM l) t ON r.root = t.u
+), c AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY 1)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN c USING (doc_id)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_neardup": OP10_SQL}
