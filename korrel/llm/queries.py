@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import neardup, pieces
+from . import neardup, pieces, repeats
 from .common import Scratch, read
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -18,6 +19,18 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = repeats.remove_repeats(docs, Scratch(spark, "op4"))
+    return out.select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.digests(pieces.encode_decode(docs, pieces.model_bytes(tokenizer_path())))
@@ -29,11 +42,37 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_pieces": op6_pieces, "op10_neardup": op10_neardup}
+    return {"op4_repeats": op4_repeats, "op6_pieces": op6_pieces, "op10_neardup": op10_neardup}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP4_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), w AS (
+  SELECT doc_id, i, md5(substr(hx, 2 * i + 1, 400)) AS s
+  FROM (SELECT doc_id, hx, unnest(range(0, n - 199)) AS i FROM d WHERE n >= 200)
+), r AS (
+  SELECT doc_id, i FROM w WHERE s IN (SELECT s FROM w GROUP BY s HAVING count(*) > 1)
+), g AS (
+  SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 1 ELSE 0 END AS gap FROM r
+), k AS (
+  SELECT doc_id, i, sum(gap) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g
+), runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM k GROUP BY doc_id, run
+), edges AS (
+  SELECT d.doc_id, hx, n, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS lo, a AS hi FROM d JOIN runs USING (doc_id)
+  UNION ALL
+  SELECT d.doc_id, hx, n, coalesce(e.b, 0), n FROM d LEFT JOIN (SELECT doc_id, max(b) AS b FROM runs GROUP BY 1) e USING (doc_id)
+), kept AS (
+  SELECT doc_id, string_agg(substr(hx, 2 * lo + 1, 2 * (hi - lo)), '' ORDER BY lo, hi) AS hx, count(*) - 1 AS n_spans, sum(hi - lo) AS n_kept FROM edges GROUP BY 1
+)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(d.n - n_kept AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans,
+  sha256(unhex(kept.hx)) AS kept_sha256
+FROM d JOIN kept USING (doc_id)
+"""
+
 OP10_SQL = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
@@ -58,4 +97,4 @@ FROM s JOIN c USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_neardup": OP10_SQL}
+    return {"op4_repeats": OP4_SQL, "op10_neardup": OP10_SQL}
