@@ -5,11 +5,14 @@ node has a minwise signature, and a tree of the join sends a node down every pat
 positions that the tree's hash chooses there, 1 / similarity of them on average, so two sets that are similar enough keep
 meeting at one child per level on average. Several independent trees lift the chance that a pair meets to near 1.
 
-First each tree node links its members to its least one, which costs one pair per member and joins large groups of copies
-whatever their size. Then only sets of different components are of interest: tree nodes of at most ``LEAF`` members are
-compared exhaustively across components, larger ones branch again, level by level, until none is left. Candidates pass a
-sketch of the signatures whose cut-off is some five standard deviations below the threshold, and are confirmed on the full
-sets. Links inside a component that is already joined are not looked for: they cannot change the result.
+First each tree node links its members to its least one, which costs one pair per member. Then only sets of different components
+are of interest: tree nodes of at most ``LEAF`` members, and larger ones that are nearly of one component, are compared
+exhaustively across components; the others branch again, level by level. Candidates pass a sketch of the signatures and then a
+finer one, with cut-offs some five standard deviations below the threshold, and are confirmed on the full sets. In the first
+rounds a tree node proposes only the pairs that would join its components, best first. In the last one every candidate counts:
+a set is held against all members of each component that it may touch, in blocks of ``BLOCK`` members, and one link of each block
+is returned. So the rows that move follow the sets, not the pairs, in however large a group of copies. Links inside a component
+that is already joined are not looked for: they cannot change the result.
 
 Cases: a null or empty text, or one without words, has the empty set and is linked with nothing. Rows with equal sets are
 linked, repeated rows and rows that repeat a doc_id too. A null doc_id takes part; it is never the smallest, and a component of
@@ -32,9 +35,15 @@ from .shingles import U, mix, shingle_hashes
 
 SHINGLE, NUM, DEN = 5, 75, 100
 #: Signature positions, those of them that the roots of the trees choose, and the most members that are compared exhaustively.
-POSITIONS, ROOT_PATHS, LEAF, DEPTH = 128, 32, 16, 24
+POSITIONS, ROOT_PATHS, LEAF, DEPTH = 128, 32, 1024, 12
+#: A larger node is compared too if that takes at most so many comparisons a member, and it has at most so many members.
+EASY, EASY_SIZE = 512, 200_000
 #: Of POSITIONS two-bit minima, the fewest that must agree: at a similarity of 0.75 104 are expected, with a deviation of 4.4.
 SKETCH_LEAST = 82
+#: Of so many finer two-bit minima, the fewest that must agree: 832 are expected, with a deviation of 12.5.
+FINE, FINE_LEAST = 1024, 768
+#: Rounds of proposals, and members of a component that one task compares a set with.
+ROUNDS, BLOCK = 1, 512
 #: Ids that are broadcast at most (8 bytes each, and a hash table's overhead).
 BROADCAST_IDS = 1_000_000
 
@@ -72,7 +81,7 @@ def sketches(sig: np.ndarray) -> np.ndarray:
     """Two low bits of mixed minima, 32 positions to a 64-bit word."""
     two = mix(sig.astype(U)) & U(3)
     shift = (np.arange(sig.shape[1]) % 32 * 2).astype(U)
-    return np.bitwise_or.reduce((two << shift).reshape(len(sig), -1, 32), axis=2).view(np.int64)
+    return np.bitwise_or.reduce((two << shift).reshape(len(sig), sig.shape[1] // 32, 32), axis=2).view(np.int64)
 
 
 FEATURES = "doc_id long, n_shingles long, node binary, sig array<int>, sketch array<long>"
@@ -110,13 +119,14 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def sets(docs: DataFrame) -> DataFrame:
-    """(node, shingles) of documents that have words: the whole set, as sorted hashes."""
-    schema = pa.schema([("node", pa.binary()), ("shingles", pa.list_(pa.int64()))])
+    """(node, shingles, fine) of documents that have words: the whole set, as sorted hashes, and its finer sketch."""
+    schema = pa.schema([("node", pa.binary()), ("shingles", pa.list_(pa.int64())), ("fine", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in _chunks(batch, 0):
                 hashes, counts = shingle_hashes(texts, SHINGLE)
+                fine = sketches(signatures(hashes, counts, FINE))
                 node, own, at = [], [], 0
                 for c in counts.tolist():
                     if c:
@@ -125,38 +135,192 @@ def sets(docs: DataFrame) -> DataFrame:
                         at += c
                 if own:
                     offsets = np.concatenate(([0], np.cumsum([len(x) for x in own]))).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(own).view(np.int64)))], schema=schema)
+                    even = np.arange(len(own) + 1, dtype=np.int32) * (FINE // 32)
+                    yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(own).view(np.int64))), pa.ListArray.from_arrays(pa.array(even), pa.array(fine.ravel()))], schema=schema)
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "node binary, shingles array<long>")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "node binary, shingles array<long>, fine array<long>")
 
 
-def agreement(x: Column, y: Column) -> Column:
+def agreement(x: Column, y: Column, positions: int = POSITIONS) -> Column:
     """Positions of two sketches that agree."""
-    words = POSITIONS // 32
-    differ = None
-    for i in range(words):
-        z = x[i].bitwiseXOR(y[i])
-        bits = F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-        differ = bits if differ is None else differ + bits
-    return F.lit(POSITIONS) - differ
+    odd = F.lit(0x5555555555555555)
+
+    def differing(p: Column, q: Column) -> Column:
+        z = p.bitwiseXOR(q)
+        return F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(odd))
+
+    if positions > POSITIONS:
+        return F.lit(positions) - F.aggregate(F.zip_with(x, y, differing), F.lit(0), lambda n, d: n + d)
+    return F.lit(positions) - sum((differing(x[i], y[i]) for i in range(1, positions // 32)), differing(x[0], y[0]))
+
+
+def _agreeing(labels: list[bytes], sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (i, j) of rows of different labels whose sketches agree enough, how well they do, and the rows' label sizes."""
+    code = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+    label = np.fromiter((code[x] for x in labels), np.int64, len(labels))
+    many = np.bincount(label)
+    order = np.lexsort((label, many[label]))  # the largest label comes last and is not compared within itself
+    label, sketch = label[order], sketch[order]
+    odd, left, right, well = U(0x5555555555555555), [], [], []
+    for i in range(len(order) - int(many.max())):
+        rest = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
+        z = sketch[rest] ^ sketch[i]
+        agree = POSITIONS - np.bitwise_count((z | (z >> U(1))) & odd).sum(axis=1, dtype=np.int64)
+        hit = np.flatnonzero(agree >= SKETCH_LEAST)
+        if len(hit):
+            left.append(np.full(len(hit), order[i]))
+            right.append(order[rest[hit]])
+            well.append(agree[hit])
+    if not left:
+        return (np.zeros(0, np.int64),) * 3 + (many[label],)
+    size = np.empty(len(order), np.int64)
+    size[order] = many[label]
+    return np.concatenate(left), np.concatenate(right), np.concatenate(well), size
+
+
+def compared(members: DataFrame, joining: bool) -> DataFrame:
+    """What the sketches of members (path, node, label, sketch) of each path propose across labels.
+
+    Pairs (a, b) of nodes that would join the labels of a path, best first; or, if not ``joining``, every (a, b) where node a
+    agrees enough with some node of the label b.
+    """
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def propose(nodes: list[bytes], labels: list[bytes], sketch: np.ndarray, out: set) -> None:
+        i, j, well, size = _agreeing(labels, sketch)
+        if not joining:
+            swap = size[i] > size[j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            out.update((nodes[x], labels[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True))
+            return
+        root: dict[bytes, bytes] = {}
+
+        def find(x: bytes) -> bytes:
+            while x in root:
+                x = root[x]
+            return x
+
+        for k in np.argsort(-well, kind="stable").tolist():
+            x, y = find(labels[i[k]]), find(labels[j[k]])
+            if x != y:
+                root[x] = y
+                pair = nodes[i[k]], nodes[j[k]]
+                out.add((max(pair), min(pair)))
 
-
-def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
-    """Those of ``pairs(a, b)`` of nodes whose full sets are similar enough."""
-    pairs = scratch.keep(pairs, f"{tag}-pairs")
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    ids = scratch.keep(nodes.join(reps, "node").select("doc_id", "node"), f"{tag}-ids")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, nodes, labels, sketch = None, [], [], []
+        out: set[tuple[bytes, bytes]] = set()
+        for batch in batches:
+            path = batch.column(0).to_numpy()
+            if not len(path):
+                continue
+            own = batch.column(3).flatten().to_numpy().view(U).reshape(len(path), -1)
+            starts = [0, *(np.flatnonzero(path[1:] != path[:-1]) + 1).tolist(), len(path)]
+            for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+                if nodes and path[lo] != last:
+                    propose(nodes, labels, np.concatenate(sketch), out)
+                    nodes, labels, sketch = [], [], []
+                last = path[lo]
+                nodes += batch.column(1).slice(lo, hi - lo).to_pylist()
+                labels += batch.column(2).slice(lo, hi - lo).to_pylist()
+                sketch.append(own[lo:hi])
+            if len(out) >= 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], schema=schema)
+                out.clear()
+        if nodes:
+            propose(nodes, labels, np.concatenate(sketch), out)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], schema=schema)
+
+    ordered = members.select("path", "node", "label", "sketch").repartition("path").sortWithinPartitions("path")
+    return ordered.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _full(nodes: DataFrame, docs: DataFrame, reps: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
+    """The whole sets of some nodes, from the texts of one document each."""
+    ids = scratch.keep(nodes.distinct().join(reps, "node").select("doc_id", "node"), f"{tag}-ids")
     few = ids.count() <= BROADCAST_IDS
     own = ids.select(F.col("doc_id").alias("_id"))
     texts = docs.select("doc_id", "text").join(F.broadcast(own) if few else own, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     # a doc_id may stand at several texts: only the wanted sets stay, one row for each
     full = sets(texts).join(F.broadcast(ids.select("node")) if few else ids.select("node"), "node", "left_semi")
-    full = scratch.keep(full.dropDuplicates(["node"]), f"{tag}-sets")
+    return scratch.keep(full.dropDuplicates(["node"]), f"{tag}-sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
+    """Those of ``pairs(a, b)`` of nodes whose full sets are similar enough."""
+    pairs = scratch.keep(pairs, f"{tag}-pairs")
+    full = _full(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))), docs, reps, scratch, tag)
+    fine = full.select("node", "fine")
+    near = pairs.join(fine.select(F.col("node").alias("a"), F.col("fine").alias("fa")), "a").join(fine.select(F.col("node").alias("b"), F.col("fine").alias("fb")), "b")
+    near = scratch.keep(near.filter(agreement(F.col("fa"), F.col("fb"), FINE) >= FINE_LEAST).select("a", "b"), f"{tag}-near")
     a = full.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     b = full.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     either = F.size("sa") + F.size("sb") - both
-    return scratch.keep(pairs.join(a, "a").join(b, "b").filter(DEN * both.cast("long") >= NUM * either.cast("long")).select("a", "b"), f"{tag}-links")
+    return scratch.keep(near.join(a, "a").join(b, "b").filter(DEN * both.cast("long") >= NUM * either.cast("long")).select("a", "b"), f"{tag}-links")
+
+
+def _touching(touch: DataFrame, label: DataFrame, docs: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between node a of ``touch(a, b)`` and members of component b, one for each block that has any."""
+    touch = scratch.keep(touch, "touch")
+    sizes = label.join(touch.select(F.col("b").alias("label")).distinct(), "label")
+    blocks = sizes.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    held = sizes.join(blocks, "label").select("label", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.lit(0).alias("side"), "node")
+    sent = touch.select(F.col("b").alias("label"), F.col("a").alias("node")).join(blocks, "label")
+    sent = sent.select("label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("side"), "node")
+    rows = scratch.keep(held.unionByName(sent), "blocks")
+    full = _full(rows.select("node"), docs, reps, scratch, "touch")
+    rows = rows.join(full, "node").repartition("label", "block").sortWithinPartitions("label", "block", "side")
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    odd = U(0x5555555555555555)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, nodes, own, fine, table = None, [], [], [], None
+        for batch in batches:
+            out: list[tuple[bytes, bytes]] = []
+            for group, block, side, node, shingles, sketch in zip(*(batch.column(i) for i in range(6)), strict=True):
+                key, node = (group.as_py(), block.as_py()), node.as_py()
+                if key != last:
+                    last, nodes, own, fine, table = key, [], [], [], None
+                s, f = shingles.values.to_numpy(), sketch.values.to_numpy().view(U)
+                if side.as_py() == 0:
+                    nodes.append(node)
+                    own.append(s)
+                    fine.append(f)
+                    continue
+                table = np.stack(fine) if table is None else table
+                z = table ^ f
+                agree = FINE - np.bitwise_count((z | (z >> U(1))) & odd).sum(axis=1, dtype=np.int64)
+                for k in np.argsort(-agree, kind="stable").tolist():
+                    if agree[k] < FINE_LEAST:
+                        break
+                    both = len(np.intersect1d(s, own[k], assume_unique=True))
+                    if nodes[k] != node and DEN * both >= NUM * (len(s) + len(own[k]) - both):
+                        out.append((node, nodes[k]))
+                        break
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], schema=schema)
+
+    return scratch.keep(rows.select("label", "block", "side", "node", "shingles", "fine").mapInArrow(run, "a binary, b binary"), "touching")
+
+
+def _labels(links: list[DataFrame], sketch: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Labels of linked nodes, and (node, sketch, label) of all that meet others."""
+    every = links[0]
+    for more in links[1:]:
+        every = every.unionByName(more)
+    label = components(every, scratch)
+    return label, scratch.keep(sketch.join(label, "node", "left").select("node", "sketch", F.coalesce("label", "node").alias("label")), "sketched")
+
+
+def _mixed(open_: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Members (path, node) of paths that several components meet in, and whether comparing those is easy."""
+    n = F.col("n").cast("double")
+    by_label = open_.join(sketched.select("node", "label"), "node").groupBy("path", "label").agg(F.count("*").alias("n"))
+    paths = by_label.groupBy("path").agg(F.sum("n").alias("many"), ((F.sum(n) * F.sum(n) - F.sum(n * n)) / 2).alias("cross"), F.count("*").alias("labels")).filter("labels > 1")
+    easy = (F.col("many") <= LEAF) | ((F.col("cross") <= EASY * F.col("many")) & (F.col("many") <= EASY_SIZE))
+    return open_.join(paths.select("path", easy.alias("easy")), "path")
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -177,20 +341,20 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     links = _confirmed(best.select(F.col("node").alias("a"), "b"), docs, reps, scratch, "pivot")
 
     # What is left: pairs of different components that meet in a tree node.
-    label = components(links, scratch)
-    sketched = scratch.keep(members.select("node").distinct().join(sketch, "node").join(label, "node", "left").select("node", "sketch", F.coalesce("label", "node").alias("label")), "sketched")
-    open_ = members.select("path", "node")
-    found = None
+    own_sketch = scratch.keep(members.select("node").distinct().join(sketch, "node"), "sketch")
+    links = [links]
+    for turn in range(ROUNDS):
+        label, sketched = _labels(links, own_sketch, scratch)
+        at = _mixed(members.select("path", "node"), sketched).filter("easy").select("path", "node")
+        pairs = compared(at.join(sketched, "node"), True)
+        links.append(_confirmed(pairs, docs, reps, scratch, f"join{turn}"))
+    label, sketched = _labels(links, own_sketch, scratch)
+    open_, touch = members.select("path", "node"), None
     for depth in range(DEPTH):
-        labelled = open_.join(sketched.select("node", "label"), "node")
-        mixed = labelled.groupBy("path").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("many")).filter("l0 <> l1")
-        at = scratch.keep(open_.join(mixed.select("path", "many"), "path"), f"level{depth}")
-        small = at.filter(F.col("many") <= LEAF).select("path", "node").join(sketched, "node")
-        group = small.groupBy("path").agg(F.collect_list(F.struct("node", "label", "sketch")).alias("m"))
-        pairs = F.flatten(F.transform("m", lambda x: F.transform(F.filter("m", lambda y: (y["node"] > x["node"]) & (y["label"] != x["label"]) & (agreement(x["sketch"], y["sketch"]) >= SKETCH_LEAST)), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))
-        met = scratch.keep(group.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct(), f"met{depth}")
-        found = met if found is None else found.unionByName(met)
-        large = at.filter(F.col("many") > LEAF)
+        at = scratch.keep(_mixed(open_, sketched), f"level{depth}")
+        met = scratch.keep(compared(at.filter("easy").select("path", "node").join(sketched, "node"), False), f"met{depth}")
+        touch = met if touch is None else touch.unionByName(met)
+        large = at.filter("not easy")
         if large.isEmpty():
             break
         sig = having.select("node", "sig").join(large.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("sig").alias("sig"))
@@ -198,12 +362,13 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
         chosen = F.filter(F.sequence(F.lit(0), F.lit(POSITIONS - 1)), lambda p: F.pmod(F.xxhash64("path", p), F.lit(one_in)) == 0)
         open_ = scratch.keep(large.select("path", "node").join(sig, "node").select("node", "sig", "path", F.explode(chosen).alias("pos")).select(F.xxhash64("path", "pos", F.col("sig")[F.col("pos")]).alias("path"), "node"), f"open{depth}")
     else:
-        # Sets that two dozen levels did not part: each meets the least of its tree node, as at the roots.
-        last = open_.groupBy("path").agg(F.min("node").alias("a"))
-        found = found.unionByName(open_.join(last, "path").filter("node <> a").select("a", F.col("node").alias("b")).distinct())
-    more = _confirmed(found.distinct(), docs, reps, scratch, "leaf")
+        # Sets that a dozen levels did not part: each touches the component of the least one of its tree node.
+        least = open_.join(sketched.select("node", "label"), "node").groupBy("path").agg(F.min("label").alias("b"))
+        rest = open_.join(least, "path").join(sketched.select("node", "label"), "node").filter("label <> b")
+        touch = touch.unionByName(rest.select(F.col("node").alias("a"), "b"))
+    more = _touching(touch.distinct(), sketched.select("node", "label"), docs, reps, scratch)
     if not more.isEmpty():
-        label = components(links.unionByName(more), scratch)
+        label, _ = _labels([*links, more], own_sketch, scratch)
 
     of_node = reps.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id")
     of_label = of_node.groupBy("label").agg(F.min("doc_id").alias("component_id"))

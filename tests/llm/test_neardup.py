@@ -92,3 +92,22 @@ def test_components_of_a_path(spark, n):
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(i + 1, i) for i in range(n)] + [(900, 900), (800, 801)], "a int, b int")
     got = dict(components(links, Scratch(spark, "test")).collect())
     assert got == {**{i: 0 for i in range(n + 1)}, 800: 800, 801: 800}
+
+
+def test_branching_and_blocks(spark, monkeypatch):
+    for name, value in (("LEAF", 4), ("EASY", 0), ("BLOCK", 3), ("ROUNDS", 0)):
+        monkeypatch.setattr(neardup, name, value)
+    rnd = random.Random(7)
+    vocab = [f"w{i}" for i in range(400)]
+    rows, n = [], 0
+    for _ in range(6):
+        base = [rnd.choice(vocab) for _ in range(120)]
+        for k in range(14):
+            rows.append((n, " ".join(edited(rnd, base, k % 7))))
+            n += 1
+    got, want = run(spark, rows), brute(rows)
+    assert len(got) == len(want)
+    # deep trees may miss a pair, which other trees then find: no false link, and nearly every true one
+    parts, true = {d: c for d, _, c in got}, {d: c for d, _, c in want}
+    assert all(true[d] == true[c] for d, c in parts.items())
+    assert sum(parts[d] == true[d] for d in true) >= 0.97 * len(true)
