@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup, pieces, repeats
+from . import fingerprint, html_crf, licenses, mixing, neardup, pieces, quality, repeats, topk, toxicity
 from .common import Scratch, read
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -19,6 +19,18 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classified(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), Scratch(spark, "op1"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.flagged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), Scratch(spark, "op2"))
+
+
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.main_text(read(spark, sf_dir, "pages"))
+
+
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = repeats.remove_repeats(docs, Scratch(spark, "op4"))
@@ -31,18 +43,38 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), 20, 20, Scratch(spark, "op5"))
+
+
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.digests(pieces.encode_decode(docs, pieces.model_bytes(tokenizer_path())))
 
 
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix(docs, Scratch(spark, "op7"), narrow=True)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fingerprint.fingerprints(read(spark, sf_dir, "documents"), Scratch(spark, "op8"))
+    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"), Scratch(spark, "op9"))
+
+
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, Scratch(spark, "op10"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_repeats": op4_repeats, "op6_pieces": op6_pieces, "op10_neardup": op10_neardup}
+    every = (op1_quality, op2_toxicity, op3_main_text, op4_repeats, op5_topk, op6_pieces, op7_mix, op8_fingerprint, op9_licenses, op10_neardup)
+    return {f.__name__: f for f in every}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -82,10 +114,10 @@ WITH RECURSIVE w AS (
     ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w
 ), e AS (SELECT doc_id, unnest(sh) AS x FROM s
 ), p AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2
 ), l AS (
   SELECT a, b FROM p JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b
-  WHERE 100 * both >= 75 * (len(sa.sh) + len(sb.sh) - both)
+  WHERE 100 * n_both >= 75 * (len(sa.sh) + len(sb.sh) - n_both)
 ), reach AS (
   SELECT doc_id, doc_id AS root FROM documents
   UNION
@@ -96,5 +128,51 @@ FROM s JOIN c USING (doc_id)
 """
 
 
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 20
+"""
+
+OP7_SQL = r"""
+WITH m AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[#$%&*|!<>{}=~^_\\]')) AS DOUBLE) AS symbols,
+    (CAST(('0x' || substr(md5('mix:' || CAST(doc_id AS VARCHAR)), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
+  FROM documents
+), k AS (
+  SELECT doc_id, source, size, -ln(u) / greatest(CAST(0.1 AS DOUBLE), CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + CAST(2.0 AS DOUBLE) * symbols / greatest(size, 1))) AS key FROM m
+), s AS (
+  SELECT source, CAST(sum(size) AS DOUBLE) AS source_size FROM k GROUP BY source
+), w AS (
+  SELECT source, source_size, 2 * source_size AS cap,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN CAST(5 AS DOUBLE) WHEN 1 THEN CAST(2 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS weight FROM s
+), l AS (
+  SELECT *, row_number() OVER o AS nth, cap / weight AS ratio,
+    (1.5 * sum(source_size) OVER () - (sum(cap) OVER o - cap)) / (sum(weight) OVER () - (sum(weight) OVER o - weight)) AS level
+  FROM w WINDOW o AS (ORDER BY cap / weight, source NULLS FIRST ROWS UNBOUNDED PRECEDING)
+), t AS (
+  SELECT source, source_size, least(cap, weight * (SELECT arg_min(level, nth) FROM l WHERE ratio >= level)) AS target FROM l
+), e AS (
+  SELECT source, source_size, target, floor(target / nullif(source_size, 0)) AS epochs, target - floor(target / nullif(source_size, 0)) * source_size AS missing FROM t
+), c AS (
+  SELECT k.doc_id, k.size, e.*, sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id ROWS UNBOUNDED PRECEDING) AS upto
+  FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source
+)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+  CAST(CASE WHEN size = 0 THEN 0 ELSE size * (epochs + CASE WHEN missing > 0 AND (upto <= missing OR upto - missing < missing - (upto - size)) THEN 1 ELSE 0 END) END AS BIGINT) AS taken
+FROM c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_repeats": OP4_SQL, "op10_neardup": OP10_SQL}
+    return {"op5_topk": OP5_SQL, "op7_mix": OP7_SQL, "op4_repeats": OP4_SQL, "op10_neardup": OP10_SQL}
