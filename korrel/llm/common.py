@@ -2,16 +2,55 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_SCRATCH: dict[str, str] = {}
 
 
+#: Rows and bytes that Spark hands to a Python worker at once: texts are long, and workers share a small memory.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch limits to what whole texts need (a lower setting stays)."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        limit = int(spark.conf.get(name))
+    except (PySparkException, ValueError):
+        return  # this version has no such limit, or it has a unit
+    if not 0 < limit <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A batch function that hands freed memory back to the system when its task ends: workers idle on between tasks."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One table of a data directory, through Spark's own reader."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -30,6 +69,7 @@ class Scratch:
     """Tables written once in the shared scratch folder, so that a lost executor costs no recomputation of what led to them."""
 
     def __init__(self, spark: SparkSession, tag: str):
+        small_batches(spark)
         self.spark = spark
         self.base = f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
         self._n = 0

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import released
 from .html_blocks import CUES, Block, Paths, blocks
 from .html_pages import labelled
 
@@ -239,7 +240,7 @@ def extract(pages: DataFrame, field: Field, html_col: str = "html", text_col: st
                 text = [worker.article(h) for h in batch.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in own), pa.array(text, pa.string())], names=names)
 
-    return pages.mapInArrow(run, schema)
+    return pages.mapInArrow(released(run), schema)
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import released, small_batches
+
 SPACE = "▁"
 #: Units (a run of spaces and the word after it) that a worker remembers, and the longest one that it does.
 CACHE_UNITS, CACHE_CHARS = 400_000, 48
@@ -171,6 +173,7 @@ def model_bytes(path: str) -> bytes:
 def encode_decode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """``docs`` with the ids of each whole text and the text that those ids decode to."""
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # the model file: its size does not depend on the data
     schema = T.StructType([f for f in docs.schema.fields if f.name not in (ids_col, decoded_col)] + [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False), T.StructField(decoded_col, T.StringType(), False)])
     at = docs.columns.index(text_col)
@@ -188,7 +191,7 @@ def encode_decode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), "<i4")))
                 yield pa.RecordBatch.from_arrays([batch.column(i) for i in stay] + [ids, pa.array(decoded, pa.string())], names=[f.name for f in schema.fields])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def digests(coded: DataFrame, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:

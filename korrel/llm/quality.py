@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import linear
-from .common import Scratch
+from .common import Scratch, released
 from .samples import held_out, learnable, sampled
 
 #: Labelled and unlabelled documents that are learnt from, at most about so many.
@@ -139,7 +139,7 @@ def _views(docs: DataFrame) -> DataFrame:
             b = [meta_view(*r) for r in zip(text, lang, source, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.list_(pa.float64())), pa.array(b, pa.list_(pa.float64())), batch.column(3), batch.column(4)], names=["a", "b", "y", "calibrate"])
 
-    return docs.mapInArrow(run, "a array<double>, b array<double>, y int, calibrate boolean")
+    return docs.mapInArrow(released(run), "a array<double>, b array<double>, y int, calibrate boolean")
 
 
 def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SAMPLE, pool: int = POOL) -> Model:
@@ -181,7 +181,7 @@ def score(docs: DataFrame, model: Model, score_col: str = "quality_score") -> Da
                 b = np.array([meta_view(*r) for r in zip(text, batch.column(l).to_pylist(), batch.column(s).to_pylist(), strict=True)])
                 yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in own), pa.array(model.score(a, b))], names=[f.name for f in schema])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def classified(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:

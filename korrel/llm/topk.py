@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, released
 
 SLICES, SHARD, BLOCK = 4, 4096, 128
 SCALE = 64.0
@@ -134,7 +134,7 @@ def _visited(rows: DataFrame, shards: int, k: int, final: bool) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     dealt = rows.select("shard", "side", "key", "ids", "v", "cut").repartition(shards, "shard").sortWithinPartitions("shard", "side")
-    return dealt.mapInArrow(run, "key string, score long, vec_id long")
+    return dealt.mapInArrow(released(run), "key string, score long, vec_id long")
 
 
 def top_k(rows: DataFrame, k: int, one_in: int, scratch: Scratch) -> DataFrame:

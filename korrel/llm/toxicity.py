@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import linear
-from .common import Scratch
+from .common import Scratch, released
 from .samples import held_out, learnable
 
 #: Labelled documents that are learnt from, at most about so many.
@@ -266,7 +266,7 @@ def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SA
         # terms that no toxic document of this task has are counted only if another task's has them: all go out
         yield pa.RecordBatch.from_pydict({"term": list(counts), "other": [c[0] for c in counts.values()], "toxic": [c[1] for c in counts.values()]})
 
-    table = rows.mapInArrow(count, "term string, other long, toxic long").groupBy("term").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
+    table = rows.mapInArrow(released(count), "term string, other long, toxic long").groupBy("term").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
     # the sample is bounded, and so is what of it may be a term
     got = {r.term: (r.toxic, r.other) for r in table.filter(f"term = '' or (toxic >= 3 and toxic >= {PRECISION} * (toxic + other))").collect()}
     toxic, other = got.pop("", (0, 0))
@@ -285,7 +285,7 @@ def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SA
             kind = pa.list_(pa.struct([("e", pa.int32()), ("k", pa.int32()), ("w", pa.string()), ("q", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([[dict(zip("ekwq", x, strict=True)) for x in h] for h in hits], kind)], names=["y", "hits"])
 
-    met = rows.mapInArrow(meet, "y int, hits array<struct<e:int,k:int,w:string,q:double>>").collect() if model.terms else []
+    met = rows.mapInArrow(released(meet), "y int, hits array<struct<e:int,k:int,w:string,q:double>>").collect() if model.terms else []
     docs_with: dict[str, Counter] = defaultdict(Counter)
     for r in met:
         for w, e, k in {(h.w, h.e, h.k) for h in r.hits if h.e}:
@@ -308,7 +308,7 @@ def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SA
             x = [scorer.features(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([f[0] for f in x]), pa.array([f[1] for f in x]), pa.array([f[2] for f in x])], names=["y", "total", "most", "quoted"])
 
-    got = rows.mapInArrow(use, "y int, total double, most double, quoted double").collect() if model.terms else []
+    got = rows.mapInArrow(released(use), "y int, total double, most double, quoted double").collect() if model.terms else []
     x = np.array([[r.total, r.most, r.quoted] for r in got]).reshape(-1, 3)
     y = np.array([r.y for r in got])
     if not model.terms:
@@ -333,7 +333,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 x = np.array([scorer.features(t or "") for t in batch.column(at).to_pylist()], float)
                 yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in own), pa.array(model.fitted.score(x[:, :3])), pa.array(x[:, 3].astype(np.int64)), pa.array(x[:, 2])], names=names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def flagged(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SAMPLE) -> DataFrame:
