@@ -59,7 +59,6 @@ def test_same_as_brute_force(spark, monkeypatch, group):
 
 def test_long_texts_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(repeats, "PIECE", 700)
-    monkeypatch.setattr(repeats, "BROADCAST_BYTES", 0)
     texts = corpus(3)
     assert run(spark, texts) == brute(texts)
 
