@@ -43,9 +43,10 @@ def hard_negatives(s1: DataFrame, targets: DataFrame, truth: DataFrame, quota: i
 def soft_negatives(s1: DataFrame, targets: DataFrame, truth: DataFrame, seen: DataFrame, quota: int, rounds: int = 2) -> DataFrame:
     """Untrue, unseen pairs of entities and targets that a hash brings together; always ends.
 
-    Both sides are numbered within hash shards, and an entity meets the targets with its own number, ``rounds`` times.
+    Both sides are numbered within hash shards of some thousand ids, and an entity meets the target with its own number in its
+    shard, ``rounds`` times.
     """
-    n = F.lit(4096)
+    n = F.lit(max(1, min(s1.count(), targets.count()) // 4096))
 
     def numbered(ids: DataFrame, name: str, seed: Column) -> DataFrame:
         shard = F.pmod(F.crc32(F.concat_ws("|", seed, F.col(name)).cast("binary")), n)
