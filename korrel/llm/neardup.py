@@ -29,13 +29,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, released
 from .components import components
 from .shingles import U, mix, shingle_hashes
 
 SHINGLE, NUM, DEN = 5, 75, 100
 #: Signature positions, those of them that the roots of the trees choose, and the most members that are compared exhaustively.
-POSITIONS, ROOT_PATHS, LEAF, DEPTH = 128, 32, 1024, 12
+POSITIONS, ROOT_PATHS, LEAF, DEPTH = 128, 32, 8192, 12
 #: A larger node is compared too if that takes at most so many comparisons a member, and it has at most so many members.
 EASY, EASY_SIZE = 512, 200_000
 #: Of POSITIONS two-bit minima, the fewest that must agree: at a similarity of 0.75 104 are expected, with a deviation of 4.4.
@@ -115,7 +115,7 @@ def features(docs: DataFrame) -> DataFrame:
 
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(n, pa.int64()), pa.array(node, pa.binary()), lists(sig.view(np.int32), pa.int32()), lists(sk, pa.int64())], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, FEATURES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(released(run), FEATURES)
 
 
 def sets(docs: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def sets(docs: DataFrame) -> DataFrame:
                     even = np.arange(len(own) + 1, dtype=np.int32) * (FINE // 32)
                     yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(own).view(np.int64))), pa.ListArray.from_arrays(pa.array(even), pa.array(fine.ravel()))], schema=schema)
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "node binary, shingles array<long>, fine array<long>")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(released(run), "node binary, shingles array<long>, fine array<long>")
 
 
 def agreement(x: Column, y: Column, positions: int = POSITIONS) -> Column:
@@ -154,86 +154,90 @@ def agreement(x: Column, y: Column, positions: int = POSITIONS) -> Column:
     return F.lit(positions) - sum((differing(x[i], y[i]) for i in range(1, positions // 32)), differing(x[0], y[0]))
 
 
-def _agreeing(labels: list[bytes], sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (i, j) of rows of different labels whose sketches agree enough, how well they do, and the rows' label sizes."""
+def _agreeing(labels: list[bytes], sketch: np.ndarray, roots: np.ndarray, pos: int, least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(i, rows j, agreement) of rows of other labels whose sketches agree enough with row i; j's label is no smaller than i's.
+
+    At a root path of position ``pos`` a pair counts only if it is the first root path that both share.
+    """
     code = {x: i for i, x in enumerate(dict.fromkeys(labels))}
     label = np.fromiter((code[x] for x in labels), np.int64, len(labels))
     many = np.bincount(label)
     order = np.lexsort((label, many[label]))  # the largest label comes last and is not compared within itself
     label, sketch = label[order], sketch[order]
-    odd, left, right, well = U(0x5555555555555555), [], [], []
+    odd = U(0x5555555555555555)
+    if len(order) <= 128:
+        z = sketch[:, None] ^ sketch[None]
+        agree = 32 * sketch.shape[1] - np.bitwise_count((z | (z >> U(1))) & odd).sum(axis=2, dtype=np.int64)
+        near = np.triu((agree >= least) & (label[:, None] != label[None]), 1)
+        if pos > 0 and near.any():
+            at = np.nonzero(near)
+            near[at] = ~(roots[order[at[0]], :pos] == roots[order[at[1]], :pos]).any(axis=1)
+        for i in np.flatnonzero(near.any(axis=1)).tolist():
+            hit = np.flatnonzero(near[i])
+            yield int(order[i]), order[hit], agree[i, hit]
+        return
     for i in range(len(order) - int(many.max())):
         rest = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
         z = sketch[rest] ^ sketch[i]
-        agree = POSITIONS - np.bitwise_count((z | (z >> U(1))) & odd).sum(axis=1, dtype=np.int64)
-        hit = np.flatnonzero(agree >= SKETCH_LEAST)
+        agree = 32 * sketch.shape[1] - np.bitwise_count((z | (z >> U(1))) & odd).sum(axis=1, dtype=np.int64)
+        hit = np.flatnonzero(agree >= least)
+        if pos > 0 and len(hit):
+            hit = hit[~(roots[order[rest[hit]], :pos] == roots[order[i], :pos]).any(axis=1)]
         if len(hit):
-            left.append(np.full(len(hit), order[i]))
-            right.append(order[rest[hit]])
-            well.append(agree[hit])
-    if not left:
-        return (np.zeros(0, np.int64),) * 3 + (many[label],)
-    size = np.empty(len(order), np.int64)
-    size[order] = many[label]
-    return np.concatenate(left), np.concatenate(right), np.concatenate(well), size
+            yield int(order[i]), order[rest[hit]], agree[hit]
 
 
-def compared(members: DataFrame, joining: bool) -> DataFrame:
-    """What the sketches of members (path, node, label, sketch) of each path propose across labels.
+def compared(members: DataFrame, want: str, least: int = SKETCH_LEAST) -> DataFrame:
+    """What the sketches of members (path, node, label, sketch, roots, pos) of each path propose across labels, as (a, b).
 
-    Pairs (a, b) of nodes that would join the labels of a path, best first; or, if not ``joining``, every (a, b) where node a
-    agrees enough with some node of the label b.
+    ``joins``: for each node the best pair with another label. ``nodes``: every node that agrees enough with some node of
+    another label, twice. ``touches``: every (a, b) where node a agrees enough with some node of the label b.
     """
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
-    def propose(nodes: list[bytes], labels: list[bytes], sketch: np.ndarray, out: set) -> None:
-        i, j, well, size = _agreeing(labels, sketch)
-        if not joining:
-            swap = size[i] > size[j]
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            out.update((nodes[x], labels[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True))
-            return
-        root: dict[bytes, bytes] = {}
-
-        def find(x: bytes) -> bytes:
-            while x in root:
-                x = root[x]
-            return x
-
-        for k in np.argsort(-well, kind="stable").tolist():
-            x, y = find(labels[i[k]]), find(labels[j[k]])
-            if x != y:
-                root[x] = y
-                pair = nodes[i[k]], nodes[j[k]]
+    def propose(nodes: list[bytes], labels: list[bytes], held: list[tuple], pos: int, out: set) -> None:
+        rows = _agreeing(labels, np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), pos, least)
+        if want == "nodes":
+            hit = np.zeros(len(nodes), bool)
+            for i, j, _ in rows:
+                hit[i] = hit[j] = True
+            out.update((nodes[x], nodes[x]) for x in np.flatnonzero(hit).tolist())
+        elif want == "touches":
+            for i, j, _ in rows:
+                out.update((nodes[i], x) for x in {labels[y] for y in j.tolist()})
+        else:
+            for i, j, agree in rows:
+                pair = nodes[i], nodes[int(j[agree.argmax()])]
                 out.add((max(pair), min(pair)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, nodes, labels, sketch = None, [], [], []
+        last, pos, nodes, labels, held = None, -1, [], [], []
         out: set[tuple[bytes, bytes]] = set()
         for batch in batches:
             path = batch.column(0).to_numpy()
             if not len(path):
                 continue
             own = batch.column(3).flatten().to_numpy().view(U).reshape(len(path), -1)
+            roots = batch.column(4).flatten().to_numpy().reshape(len(path), -1)
             starts = [0, *(np.flatnonzero(path[1:] != path[:-1]) + 1).tolist(), len(path)]
             for lo, hi in zip(starts[:-1], starts[1:], strict=True):
                 if nodes and path[lo] != last:
-                    propose(nodes, labels, np.concatenate(sketch), out)
-                    nodes, labels, sketch = [], [], []
-                last = path[lo]
+                    propose(nodes, labels, held, pos, out)
+                    nodes, labels, held = [], [], []
+                last, pos = path[lo], batch.column(5)[lo].as_py()
                 nodes += batch.column(1).slice(lo, hi - lo).to_pylist()
                 labels += batch.column(2).slice(lo, hi - lo).to_pylist()
-                sketch.append(own[lo:hi])
+                held.append((own[lo:hi], roots[lo:hi]))
             if len(out) >= 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], schema=schema)
                 out.clear()
         if nodes:
-            propose(nodes, labels, np.concatenate(sketch), out)
+            propose(nodes, labels, held, pos, out)
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], schema=schema)
 
-    ordered = members.select("path", "node", "label", "sketch").repartition("path").sortWithinPartitions("path")
-    return ordered.mapInArrow(run, "a binary, b binary").distinct()
+    ordered = members.select("path", "node", "label", "sketch", "roots", "pos").repartition("path").sortWithinPartitions("path")
+    return ordered.mapInArrow(released(run), "a binary, b binary").distinct()
 
 
 def _full(nodes: DataFrame, docs: DataFrame, reps: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
@@ -261,16 +265,18 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, scratch: Scra
     return scratch.keep(near.join(a, "a").join(b, "b").filter(DEN * both.cast("long") >= NUM * either.cast("long")).select("a", "b"), f"{tag}-links")
 
 
-def _touching(touch: DataFrame, label: DataFrame, docs: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links (a, b) between node a of ``touch(a, b)`` and members of component b, one for each block that has any."""
+def _touching(touch: DataFrame, label: DataFrame, full: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between node a of ``touch(a, b)`` and members of component b, one for each block that has any.
+
+    ``label(node, label)`` and the sets ``full`` are those of all nodes that may have a link to another component.
+    """
     touch = scratch.keep(touch, "touch")
     sizes = label.join(touch.select(F.col("b").alias("label")).distinct(), "label")
     blocks = sizes.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     held = sizes.join(blocks, "label").select("label", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.lit(0).alias("side"), "node")
     sent = touch.select(F.col("b").alias("label"), F.col("a").alias("node")).join(blocks, "label")
     sent = sent.select("label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("side"), "node")
-    rows = scratch.keep(held.unionByName(sent), "blocks")
-    full = _full(rows.select("node"), docs, reps, scratch, "touch")
+    rows = held.unionByName(sent)
     rows = rows.join(full, "node").repartition("label", "block").sortWithinPartitions("label", "block", "side")
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
     odd = U(0x5555555555555555)
@@ -302,7 +308,7 @@ def _touching(touch: DataFrame, label: DataFrame, docs: DataFrame, reps: DataFra
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], schema=schema)
 
-    return scratch.keep(rows.select("label", "block", "side", "node", "shingles", "fine").mapInArrow(run, "a binary, b binary"), "touching")
+    return scratch.keep(rows.select("label", "block", "side", "node", "shingles", "fine").mapInArrow(released(run), "a binary, b binary"), "touching")
 
 
 def _labels(links: list[DataFrame], sketch: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -311,7 +317,7 @@ def _labels(links: list[DataFrame], sketch: DataFrame, scratch: Scratch) -> tupl
     for more in links[1:]:
         every = every.unionByName(more)
     label = components(every, scratch)
-    return label, scratch.keep(sketch.join(label, "node", "left").select("node", "sketch", F.coalesce("label", "node").alias("label")), "sketched")
+    return label, scratch.keep(sketch.join(label, "node", "left").select("node", "sketch", "roots", F.coalesce("label", "node").alias("label")), "sketched")
 
 
 def _mixed(open_: DataFrame, sketched: DataFrame) -> DataFrame:
@@ -331,7 +337,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     reps = having.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     # Roots: one path for each of the first positions, each tree having 1 / similarity of them.
-    roots = having.select("node", F.posexplode(F.slice("sig", 1, ROOT_PATHS)).alias("pos", "value")).select("node", F.xxhash64("pos", "value").alias("path"))
+    roots = having.select("node", F.posexplode(F.slice("sig", 1, ROOT_PATHS)).alias("pos", "value")).select("node", "pos", F.xxhash64("pos", "value").alias("path"))
     ends = roots.groupBy("path").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot <> last").select("path", "pivot")
     members = scratch.keep(roots.join(ends, "path").distinct(), "members")
     sketch = having.groupBy("node").agg(F.first("sketch").alias("sketch"))
@@ -341,32 +347,36 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     links = _confirmed(best.select(F.col("node").alias("a"), "b"), docs, reps, scratch, "pivot")
 
     # What is left: pairs of different components that meet in a tree node.
-    own_sketch = scratch.keep(members.select("node").distinct().join(sketch, "node"), "sketch")
+    own_sketch = having.groupBy("node").agg(F.first("sketch").alias("sketch"), F.first(F.slice("sig", 1, ROOT_PATHS)).alias("roots"))
+    own_sketch = scratch.keep(members.select("node").distinct().join(own_sketch, "node"), "sketch")
     links = [links]
     for turn in range(ROUNDS):
         label, sketched = _labels(links, own_sketch, scratch)
-        at = _mixed(members.select("path", "node"), sketched).filter("easy").select("path", "node")
-        pairs = compared(at.join(sketched, "node"), True)
+        at = _mixed(members.select("path", "pos", "node"), sketched).filter("easy").select("path", "pos", "node")
+        pairs = compared(at.join(sketched, "node"), "joins")
         links.append(_confirmed(pairs, docs, reps, scratch, f"join{turn}"))
     label, sketched = _labels(links, own_sketch, scratch)
-    open_, touch = members.select("path", "node"), None
+    open_, easy = members.select("path", "pos", "node"), None
     for depth in range(DEPTH):
         at = scratch.keep(_mixed(open_, sketched), f"level{depth}")
-        met = scratch.keep(compared(at.filter("easy").select("path", "node").join(sketched, "node"), False), f"met{depth}")
-        touch = met if touch is None else touch.unionByName(met)
+        own = at.filter("easy").select("path", "pos", "node")
+        easy = own if easy is None else easy.unionByName(own)
         large = at.filter("not easy")
         if large.isEmpty():
             break
         sig = having.select("node", "sig").join(large.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("sig").alias("sig"))
         one_in = round(POSITIONS * NUM / DEN)
         chosen = F.filter(F.sequence(F.lit(0), F.lit(POSITIONS - 1)), lambda p: F.pmod(F.xxhash64("path", p), F.lit(one_in)) == 0)
-        open_ = scratch.keep(large.select("path", "node").join(sig, "node").select("node", "sig", "path", F.explode(chosen).alias("pos")).select(F.xxhash64("path", "pos", F.col("sig")[F.col("pos")]).alias("path"), "node"), f"open{depth}")
+        open_ = scratch.keep(large.select("path", "node").join(sig, "node").select("node", "sig", "path", F.explode(chosen).alias("at")).select(F.xxhash64("path", "at", F.col("sig")[F.col("at")]).alias("path"), F.lit(-1).alias("pos"), "node"), f"open{depth}")
+        rest = open_
     else:
-        # Sets that a dozen levels did not part: each touches the component of the least one of its tree node.
-        least = open_.join(sketched.select("node", "label"), "node").groupBy("path").agg(F.min("label").alias("b"))
-        rest = open_.join(least, "path").join(sketched.select("node", "label"), "node").filter("label <> b")
-        touch = touch.unionByName(rest.select(F.col("node").alias("a"), "b"))
-    more = _touching(touch.distinct(), sketched.select("node", "label"), docs, reps, scratch)
+        # Sets that a dozen levels did not part are compared as they are.
+        easy = easy.unionByName(rest)
+    near = scratch.keep(compared(easy.join(sketched, "node"), "nodes").select(F.col("a").alias("node")), "near")
+    full = _full(near, docs, reps, scratch, "touch")
+    finer = sketched.select("node", "label", "roots").join(full.select("node", F.col("fine").alias("sketch")), "node")
+    touch = compared(easy.join(finer, "node"), "touches", FINE_LEAST)
+    more = _touching(touch, finer.select("node", "label"), full, scratch)
     if not more.isEmpty():
         label, _ = _labels([*links, more], own_sketch, scratch)
 
