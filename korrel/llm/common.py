@@ -86,12 +86,6 @@ class Scratch:
         root = jvm.org.apache.hadoop.fs.Path(self.base)
         return jvm, root, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def bytes(self, name: str) -> int:
-        """Size of the files of a kept table (of the last one, if several have the name)."""
-        _, root, fs = self._fs()
-        own = [st.getPath() for st in fs.listStatus(root) if st.getPath().getName().split("-", 1)[-1] == name]
-        return fs.getContentSummary(max(own, key=lambda p: p.getName())).getLength()
-
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more (all of this scratch if none is named)."""
         _, root, fs = self._fs()

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, fresh
+from .common import Scratch, fresh, released
 from .shingles import U, mix
 
 WINDOW, SPAN, GRAM = 200, 128, 16
@@ -36,9 +36,7 @@ SHARED = WINDOW - SPAN + 1
 #: Distinct covers of one trigger content that a task sorts at most, and those that it takes up at once.
 GROUP, AT_ONCE = 20_000, 40_000
 #: Bytes of a text that are cut at once; longer texts are cut in overlapping pieces.
-PIECE = 1 << 21
-#: Bytes of a written table up to which it is broadcast.
-BROADCAST_BYTES = 24 << 20
+PIECE = 1 << 18
 _LOW = U((1 << 24) - 1)
 _SALT = mix(np.arange(1, 64, dtype=U) * U(0x9E3779B97F4A7C15))
 
@@ -131,7 +129,7 @@ def triggers(texts: DataFrame) -> DataFrame:
                     ids = tid.take(pa.array(np.array(rows)[which][text]))
                     yield pa.RecordBatch.from_arrays([pa.array(shared), pa.array(cover), ids, pa.array(place)], schema=schema)
 
-    return texts.select("tid", "text").mapInArrow(run, TRIGGERS)
+    return texts.select("tid", "text").mapInArrow(released(run), TRIGGERS)
 
 
 COVERS = "shared long, cover long, many long, groups long, least int, most int, suffix binary, parse binary"
@@ -155,7 +153,7 @@ def covers(wanted: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    return wanted.mapInArrow(run, COVERS)
+    return wanted.mapInArrow(released(run), COVERS)
 
 
 def _suffix_array(key: np.ndarray, rows: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -223,7 +221,7 @@ def edges(contexts: DataFrame) -> DataFrame:
         if held:
             yield solve(held)
 
-    return contexts.mapInArrow(run, SPANS)
+    return contexts.mapInArrow(released(run), SPANS)
 
 
 def single_windows(contexts: DataFrame) -> DataFrame:
@@ -239,25 +237,23 @@ def single_windows(contexts: DataFrame) -> DataFrame:
                     out += [(shared, cover, many, a, xxhash.xxh3_128_digest(whole[most - a : most - a + WINDOW])) for a in range(least, most + 1)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    return contexts.mapInArrow(run, "shared long, cover long, many long, before int, window binary")
-
-
-def _small(scratch: Scratch, df: DataFrame, name: str) -> DataFrame:
-    """``df``, to be broadcast if what was written is small."""
-    return F.broadcast(df) if scratch.bytes(name) <= BROADCAST_BYTES else df
+    return contexts.mapInArrow(released(run), "shared long, cover long, many long, before int, window binary")
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(tid, at) for each distinct text of ``docs(tid, text)`` with a repeated window: places of triggers and their ranges."""
     found = scratch.keep(triggers(docs), "triggers")
     again = found.groupBy("shared").agg(F.count("*").alias("n")).filter("n > 1").select("shared")
-    hits = scratch.keep(found.join(again, "shared").groupBy("shared", "cover", "tid", "place").agg(F.count("*").alias("many")), "hits")
+    # dealt anew after the join, so that a trigger content with very many places can be split in it
+    hits = found.join(again, "shared").repartition("shared", "cover", "tid", "place")
+    hits = scratch.keep(hits.groupBy("shared", "cover", "tid", "place").agg(F.count("*").alias("many")), "hits")
     scratch.drop("triggers")
     by_cover = scratch.keep(hits.groupBy("shared", "cover").agg(F.sum("many").alias("many"), F.min(F.struct("tid", "place")).alias("one")), "covers")
     open_ = by_cover.groupBy("shared").agg(F.count("*").alias("groups"), F.min("many").alias("fewest")).filter("groups > 1 and fewest = 1").select("shared", "groups")
     wanted = by_cover.join(open_, "shared").select("one.tid", F.struct("shared", "cover", "many", "groups", "one.place").alias("x"))
     wanted = scratch.keep(wanted.groupBy("tid").agg(F.collect_list("x").alias("at")), "wanted")
-    contexts = covers(docs.join(_small(scratch, wanted, "wanted"), "tid").select("text", "at"))
+    once = docs.groupBy("tid").agg(F.first("text").alias("text"))  # of copies one text, before the shuffle
+    contexts = covers(once.join(wanted, "tid").select("text", "at"))
     names = [c for c in contexts.columns if c not in ("shared", "cover")]
     contexts = scratch.keep(contexts.groupBy("shared", "cover").agg(*(F.first(c).alias(c) for c in names)), "contexts")
     few = contexts.filter(F.col("groups") <= GROUP)
@@ -293,7 +289,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, text_col: str = "text", sp
     own_text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keyed = docs.select("*", own_text.alias(own), F.unhex(F.md5(own_text)).alias(tid))
     spans = repeated_spans(keyed.select(F.col(tid).alias("tid"), F.col(own).alias("text")), scratch)
-    spans = _small(scratch, spans.select(F.col("tid").alias(tid), F.col("at").alias(at)), "spans")
+    spans = spans.select(F.col("tid").alias(tid), F.col("at").alias(at))
     stay = [f for f in docs.schema.fields if f.name not in (spans_col, kept_col)]
     joined = keyed.join(spans, tid, "left").select(*(F.col(f.name) for f in stay), own, at)
     run_type = T.StructType([T.StructField("start", T.LongType(), False), T.StructField("end", T.LongType(), False)])
@@ -313,4 +309,4 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, text_col: str = "text", sp
                 kind = pa.list_(pa.struct([pa.field("start", pa.int64(), False), pa.field("end", pa.int64(), False)]))
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(stay)], pa.array(spans, kind), _binary(kept)], names=names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(released(run), schema)
