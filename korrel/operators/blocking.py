@@ -37,16 +37,28 @@ def purge(tokens: DataFrame, max_freq: int) -> DataFrame:
     return tokens.join(rare, ["source", "country", "field", "token"], "left_semi")
 
 
+def rare_lists(tokens: DataFrame, max_freq: int) -> DataFrame:
+    """(source, country, field, token, ids) of the tokens that ``purge`` keeps.
+
+    A token's first max_freq + 1 occurrences tell whether it is rare. The limit is taken in each input partition before the
+    shuffle, so a token that every record has costs a few rows of each, and no list is longer.
+    """
+    key = ["source", "country", "field", "token"]
+    nth = F.row_number().over(W.partitionBy(*key).orderBy("entity_id"))
+    first = tokens.withColumn("nth", nth).filter(F.col("nth") <= max_freq + 1)
+    return first.groupBy(*key).agg(F.collect_list("entity_id").alias("ids")).filter(F.size("ids") <= max_freq)
+
+
 def candidates(entities: DataFrame, max_freq: int = 25, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """Distinct pairs (s1_id, cand_id) of one country that share a rare token in one field.
 
-    Both sides are purged, so a join key has at most max_freq rows on each, whatever the data's skew.
+    Entities are read once; the token join is a grouping of short lists, at most max_freq ids of each source.
     """
-    kept = purge(block_tokens(entities, fields), max_freq)
-    key = ["country", "field", "token"]
-    left = kept.filter("source = 'S1'").select(*key, F.col("entity_id").alias("s1_id"))
-    right = kept.filter("source <> 'S1'").select(*key, F.col("entity_id").alias("cand_id"))
-    return left.join(right, key).select("s1_id", "cand_id").distinct()
+    lists = rare_lists(block_tokens(entities, fields), max_freq)
+    one = F.col("source") == "S1"
+    sides = lists.groupBy("country", "field", "token").agg(F.flatten(F.collect_list(F.when(one, F.col("ids")))).alias("a"), F.flatten(F.collect_list(F.when(~one, F.col("ids")))).alias("b"))
+    pairs = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.struct(x.alias("s1_id"), y.alias("cand_id")))))
+    return sides.filter((F.size("a") > 0) & (F.size("b") > 0)).select(F.explode(pairs).alias("p")).select("p.s1_id", "p.cand_id").distinct()
 
 
 def grouped(s1: DataFrame, pairs: DataFrame) -> DataFrame:
