@@ -243,8 +243,8 @@ def single_windows(contexts: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(tid, at) for each distinct text of ``docs(tid, text)`` with a repeated window: places of triggers and their ranges."""
     found = scratch.keep(triggers(docs), "triggers")
-    again = found.groupBy("shared").agg(F.count("*").alias("n")).filter("n > 1").select("shared")
-    # dealt anew after the join, so that a trigger content with very many places can be split in it
+    again = scratch.keep(found.groupBy("shared").agg(F.count("*").alias("n")).filter("n > 1").select("shared"), "again")
+    # both sides of the join are shuffled for it alone, so that a trigger content with very many places can be split
     hits = found.join(again, "shared").repartition("shared", "cover", "tid", "place")
     hits = scratch.keep(hits.groupBy("shared", "cover", "tid", "place").agg(F.count("*").alias("many")), "hits")
     scratch.drop("triggers")
