@@ -15,7 +15,7 @@ lacks become byte pieces. Texts have no length limit; identical rows get identic
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from .common import released, small_batches
 
 SPACE = "▁"
-#: Units (a run of spaces and the word after it) that a worker remembers, and the longest one that it does.
-CACHE_UNITS, CACHE_CHARS = 400_000, 48
+#: Units (a run of spaces and the word after it) of one generation that a worker remembers, and the longest one that it does.
+CACHE_UNITS, CACHE_CHARS = 300_000, 48
 
 
 class PieceCodec:
@@ -49,6 +49,8 @@ class PieceCodec:
             for i in range(n)
         ]
         self.known = set("".join(self.ids))
+        # Two characters that are neighbours in no piece are never merged: what lies on both sides is encoded by itself.
+        self.joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.words = ahocorasick.Automaton()
         for piece in self.ids:
             if len(piece) == 1 or self.merge(piece) == [piece]:
@@ -62,6 +64,7 @@ class PieceCodec:
             self.unit = re.compile(rf"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (rf"|[{alone}]" if alone else ""))
         self._pairs: dict[tuple[str, str], bool] = {}
         self._units: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}  # the generation before: what is asked for again moves on
 
     def merge(self, text: str) -> list[str]:
         """The library's merge loop on a short text: the best-scored pair first, of equals the leftmost."""
@@ -116,33 +119,41 @@ class PieceCodec:
                 k = tried.pop() - 1
         return out
 
+    def _part(self, text: str) -> bytes:
+        """int32 ids of a text without a border that no merge crosses."""
+        if len(text) == 1 and text not in self.known:
+            ids = [self.bytes[b] for b in text.encode()] if self.bytes else [self.unknown]
+        else:
+            ids = [self.ids[p] for p in self._known_run(text)]
+        return np.array(ids, "<i4").tobytes()
+
     def encode_unit(self, text: str) -> bytes:
         """int32 ids of a text in which spaces are already U+2581."""
-        out: list[int] = []
-        run = 0
-        for i, c in enumerate(text):
-            if c not in self.known:
-                if run < i:
-                    out += [self.ids[p] for p in self._known_run(text[run:i])]
-                out += [self.bytes[b] for b in c.encode()] if self.bytes else [self.unknown]
-                run = i + 1
-        if run < len(text):
-            out += [self.ids[p] for p in self._known_run(text[run:])]
-        return np.array(out, "<i4").tobytes()
+        joined = self.joined
+        cuts = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in joined]
+        if not cuts:
+            return self._part(text)
+        return b"".join(self._remembered(text[i:j], self._part) for i, j in zip([0, *cuts], [*cuts, len(text)], strict=True))
+
+    def _remembered(self, text: str, encode: Callable[[str], bytes]) -> bytes:
+        ids = self._units.get(text)
+        if ids is None:
+            ids = self._older.get(text)
+            if ids is None:
+                ids = encode(text)
+            if len(text) <= CACHE_CHARS:
+                if len(self._units) >= CACHE_UNITS:
+                    self._older, self._units = self._units, {}
+                self._units[text] = ids
+        return ids
 
     def encode_bytes(self, text: str) -> bytes:
         if not text:
             return b""
-        cache, out = self._units, []
+        out = []
         for unit in self.unit.findall(SPACE + text.replace(" ", SPACE)):
-            ids = cache.get(unit)
-            if ids is None:
-                ids = self.encode_unit(unit)
-                if len(unit) <= CACHE_CHARS:
-                    if len(cache) >= CACHE_UNITS:
-                        cache.clear()
-                    cache[unit] = ids
-            out.append(ids)
+            ids = self._units.get(unit)
+            out.append(self._remembered(unit, self.encode_unit) if ids is None else ids)
         return b"".join(out)
 
     def encode(self, text: str | None) -> list[int]:
