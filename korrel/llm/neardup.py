@@ -154,11 +154,13 @@ def agreement(x: Column, y: Column, positions: int = POSITIONS) -> Column:
     return F.lit(positions) - sum((differing(x[i], y[i]) for i in range(1, positions // 32)), differing(x[0], y[0]))
 
 
-def _agreeing(labels: list[bytes], sketch: np.ndarray, roots: np.ndarray, pos: int, least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _agreeing(labels: list[bytes], sketch: np.ndarray, roots: np.ndarray, large: np.ndarray, pos: int, least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(i, rows j, agreement) of rows of other labels whose sketches agree enough with row i; j's label is no smaller than i's.
 
-    At a root path of position ``pos`` a pair counts only if it is the first root path that both share.
+    At a root path of position ``pos`` a pair counts only if it is the first compared root path that both share: bit p of
+    ``large`` says that the root path of position p is not compared.
     """
+    compared = (large[:, None] >> np.arange(pos)) & 1 == 0 if pos > 0 else None
     code = {x: i for i, x in enumerate(dict.fromkeys(labels))}
     label = np.fromiter((code[x] for x in labels), np.int64, len(labels))
     many = np.bincount(label)
@@ -171,7 +173,8 @@ def _agreeing(labels: list[bytes], sketch: np.ndarray, roots: np.ndarray, pos: i
         near = np.triu((agree >= least) & (label[:, None] != label[None]), 1)
         if pos > 0 and near.any():
             at = np.nonzero(near)
-            near[at] = ~(roots[order[at[0]], :pos] == roots[order[at[1]], :pos]).any(axis=1)
+            a, b = order[at[0]], order[at[1]]
+            near[at] = ~((roots[a, :pos] == roots[b, :pos]) & compared[a]).any(axis=1)
         for i in np.flatnonzero(near.any(axis=1)).tolist():
             hit = np.flatnonzero(near[i])
             yield int(order[i]), order[hit], agree[i, hit]
@@ -182,13 +185,13 @@ def _agreeing(labels: list[bytes], sketch: np.ndarray, roots: np.ndarray, pos: i
         agree = 32 * sketch.shape[1] - np.bitwise_count((z | (z >> U(1))) & odd).sum(axis=1, dtype=np.int64)
         hit = np.flatnonzero(agree >= least)
         if pos > 0 and len(hit):
-            hit = hit[~(roots[order[rest[hit]], :pos] == roots[order[i], :pos]).any(axis=1)]
+            hit = hit[~((roots[order[rest[hit]], :pos] == roots[order[i], :pos]) & compared[order[i]]).any(axis=1)]
         if len(hit):
             yield int(order[i]), order[rest[hit]], agree[hit]
 
 
 def compared(members: DataFrame, want: str, least: int = SKETCH_LEAST) -> DataFrame:
-    """What the sketches of members (path, node, label, sketch, roots, pos) of each path propose across labels, as (a, b).
+    """What the sketches of members (path, node, label, sketch, roots, large, pos) of each path propose across labels, as (a, b).
 
     ``joins``: for each node the best pair with another label. ``nodes``: every node that agrees enough with some node of
     another label, twice. ``touches``: every (a, b) where node a agrees enough with some node of the label b.
@@ -196,7 +199,7 @@ def compared(members: DataFrame, want: str, least: int = SKETCH_LEAST) -> DataFr
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def propose(nodes: list[bytes], labels: list[bytes], held: list[tuple], pos: int, out: set) -> None:
-        rows = _agreeing(labels, np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), pos, least)
+        rows = _agreeing(labels, np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held]), pos, least)
         if want == "nodes":
             hit = np.zeros(len(nodes), bool)
             for i, j, _ in rows:
@@ -219,6 +222,7 @@ def compared(members: DataFrame, want: str, least: int = SKETCH_LEAST) -> DataFr
                 continue
             own = batch.column(3).flatten().to_numpy().view(U).reshape(len(path), -1)
             roots = batch.column(4).flatten().to_numpy().reshape(len(path), -1)
+            large = batch.column(6).to_numpy()
             starts = [0, *(np.flatnonzero(path[1:] != path[:-1]) + 1).tolist(), len(path)]
             for lo, hi in zip(starts[:-1], starts[1:], strict=True):
                 if nodes and path[lo] != last:
@@ -227,7 +231,7 @@ def compared(members: DataFrame, want: str, least: int = SKETCH_LEAST) -> DataFr
                 last, pos = path[lo], batch.column(5)[lo].as_py()
                 nodes += batch.column(1).slice(lo, hi - lo).to_pylist()
                 labels += batch.column(2).slice(lo, hi - lo).to_pylist()
-                held.append((own[lo:hi], roots[lo:hi]))
+                held.append((own[lo:hi], roots[lo:hi], large[lo:hi]))
             if len(out) >= 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], schema=schema)
                 out.clear()
@@ -236,7 +240,7 @@ def compared(members: DataFrame, want: str, least: int = SKETCH_LEAST) -> DataFr
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], schema=schema)
 
-    ordered = members.select("path", "node", "label", "sketch", "roots", "pos").repartition("path").sortWithinPartitions("path")
+    ordered = members.select("path", "node", "label", "sketch", "roots", "pos", "large").repartition("path").sortWithinPartitions("path")
     return ordered.mapInArrow(released(run), "a binary, b binary").distinct()
 
 
@@ -329,6 +333,12 @@ def _mixed(open_: DataFrame, sketched: DataFrame) -> DataFrame:
     return open_.join(paths.select("path", easy.alias("easy")), "path")
 
 
+def _with_large(own: DataFrame, at: DataFrame) -> DataFrame:
+    """Nodes ``own``, and which of their root paths ``at(pos, node, easy)`` are not compared: bit ``pos`` of ``large``."""
+    large = at.filter("not easy").groupBy("node").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("pos").cast("int"))).alias("large"))
+    return own.join(large, "node", "left").withColumn("large", F.coalesce("large", F.lit(0).cast("long")))
+
+
 def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs(doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -352,8 +362,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     links = [links]
     for turn in range(ROUNDS):
         label, sketched = _labels(links, own_sketch, scratch)
-        at = _mixed(members.select("path", "pos", "node"), sketched).filter("easy").select("path", "pos", "node")
-        pairs = compared(at.join(sketched, "node"), "joins")
+        at = _mixed(members.select("path", "pos", "node"), sketched)
+        pairs = compared(at.filter("easy").select("path", "pos", "node").join(_with_large(sketched, at), "node"), "joins")
         links.append(_confirmed(pairs, docs, reps, scratch, f"join{turn}"))
     label, sketched = _labels(links, own_sketch, scratch)
     open_, easy = members.select("path", "pos", "node"), None
@@ -362,6 +372,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
         own = at.filter("easy").select("path", "pos", "node")
         easy = own if easy is None else easy.unionByName(own)
         large = at.filter("not easy")
+        if depth == 0:
+            sketched = scratch.keep(_with_large(sketched, at), "sketched")
         if large.isEmpty():
             break
         sig = having.select("node", "sig").join(large.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("sig").alias("sig"))
@@ -374,7 +386,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
         easy = easy.unionByName(rest)
     near = scratch.keep(compared(easy.join(sketched, "node"), "nodes").select(F.col("a").alias("node")), "near")
     full = _full(near, docs, reps, scratch, "touch")
-    finer = sketched.select("node", "label", "roots").join(full.select("node", F.col("fine").alias("sketch")), "node")
+    finer = sketched.select("node", "label", "roots", "large").join(full.select("node", F.col("fine").alias("sketch")), "node")
     touch = compared(easy.join(finer, "node"), "touches", FINE_LEAST)
     more = _touching(touch, finer.select("node", "label"), full, scratch)
     if not more.isEmpty():

@@ -111,3 +111,17 @@ def test_branching_and_blocks(spark, monkeypatch):
     parts, true = {d: c for d, _, c in got}, {d: c for d, _, c in want}
     assert all(true[d] == true[c] for d, c in parts.items())
     assert sum(parts[d] == true[d] for d in true) >= 0.97 * len(true)
+
+
+@pytest.mark.parametrize("n", [2, 200])
+def test_a_root_that_is_not_compared_hides_no_pair(spark, n):
+    # all share the root of position 0, which is large; every two also share a small root of position 1 and one of position 2
+    rows = []
+    for i in range(n):
+        for pos in (1, 2):
+            rows.append((1000 * pos + i // 2, b"%06d" % i, b"%06d" % i, [i // 2 << 20] * 4, [7, i // 2, -i // 2], 1, pos))
+    df = spark.createDataFrame(rows, "path long, node binary, label binary, sketch array<long>, roots array<int>, large long, pos int")
+    got = {bytes(r.a) for r in neardup.compared(df, "nodes", 128).collect()}
+    assert got == {b"%06d" % i for i in range(n)}
+    got = {(bytes(r.a), bytes(r.b)) for r in neardup.compared(df, "touches", 128).collect()}
+    assert {frozenset(p) for p in got} == {frozenset((b"%06d" % i, b"%06d" % (i + 1))) for i in range(0, n, 2)}
