@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages over ``documents``: each stage reads what the one before it has written.
 
 Stages are functions of (spark, docs, sf_dir). All but the last return the columns of ``documents``; n_chars is kept true to the
-text. Rows that share a doc_id count as one document where a stage keeps one document of each group.
+text. Every row is a document of its own where a stage keeps one document of each group, whatever its doc_id.
 """
 
 from __future__ import annotations
@@ -23,11 +23,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
+    """The row with the smallest id of each group of near-duplicates, and no other row of it; a null id counts as the largest."""
     scratch = Scratch(spark, "keep-one")
-    found = neardup.near_duplicates(docs.select("doc_id", "text"), scratch)
-    gone = scratch.keep(found.filter("not kept").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return docs.select(*COLUMNS).join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    rows = scratch.keep(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = neardup.near_duplicates(rows.select("doc_id", "text", "_row"), scratch, row="_row")
+    gone = scratch.keep(found.filter("not kept").select("_row"), "gone")
+    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

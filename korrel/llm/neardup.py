@@ -84,12 +84,12 @@ def sketches(sig: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce((two << shift).reshape(len(sig), sig.shape[1] // 32, 32), axis=2).view(np.int64)
 
 
-FEATURES = "doc_id long, n_shingles long, node binary, sig array<int>, sketch array<long>"
+FEATURES = "doc_id long, row long, n_shingles long, node binary, sig array<int>, sketch array<long>"
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """Set size, set identity (128 bits), minwise signature and sketch of each document; null identity for an empty set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("sig", pa.list_(pa.int32())), ("sketch", pa.list_(pa.int64()))])
+    """Set size, set identity (128 bits), minwise signature and sketch of each row of ``docs(doc_id, text, row)``; null identity for an empty set."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("sig", pa.list_(pa.int32())), ("sketch", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,9 +113,9 @@ def features(docs: DataFrame) -> DataFrame:
                     offsets = np.concatenate(([0], np.cumsum(np.where(full, x.shape[1], 0)))).astype(np.int32)
                     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(x).ravel(), kind))
 
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(n, pa.int64()), pa.array(node, pa.binary()), lists(sig.view(np.int32), pa.int32()), lists(sk, pa.int64())], schema=schema)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), batch.column(2).slice(first, len(texts)), pa.array(n, pa.int64()), pa.array(node, pa.binary()), lists(sig.view(np.int32), pa.int32()), lists(sk, pa.int64())], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(released(run), FEATURES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("row").cast("long").alias("row")).mapInArrow(released(run), FEATURES)
 
 
 def sets(docs: DataFrame) -> DataFrame:
@@ -339,12 +339,18 @@ def _with_large(own: DataFrame, at: DataFrame) -> DataFrame:
     return own.join(large, "node", "left").withColumn("large", F.coalesce("large", F.lit(0).cast("long")))
 
 
-def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``docs(doc_id, text)``."""
+def near_duplicates(docs: DataFrame, scratch: Scratch, row: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row of ``docs(doc_id, text)``.
+
+    With ``row``, a column of distinct numbers, that column is returned too, and exactly one row of each component is kept: the
+    first by doc_id (null ids last) and ``row``. A row without words is kept.
+    """
+    every = docs.select("doc_id", "text", (F.col(row) if row else F.lit(None)).alias("row"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    feats = scratch.keep(features(docs), "features")
+    feats = scratch.keep(features(every), "features")
     having = feats.filter("node is not null")
     reps = having.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row"))
 
     # Roots: one path for each of the first positions, each tree having 1 / similarity of them.
     roots = having.select("node", F.posexplode(F.slice("sig", 1, ROOT_PATHS)).alias("pos", "value")).select("node", "pos", F.xxhash64("pos", "value").alias("path"))
@@ -392,9 +398,13 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     if not more.isEmpty():
         label, _ = _labels([*links, more], own_sketch, scratch)
 
-    of_node = reps.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id")
-    of_label = of_node.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_node = of_node.select("node", "label").join(of_label, "label").select("node", "component_id")
-    out = having.select("doc_id", "n_shingles", "node").join(of_node, "node").select("doc_id", "n_shingles", "component_id")
-    alone = feats.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    firsts = having.groupBy("node").agg(F.min("doc_id").alias("doc_id"), first.alias("first")) if row else reps.withColumn("first", F.lit(None).cast("struct<row: bigint>"))
+    of_node = firsts.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id", "first")
+    of_label = of_node.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.min("first").alias("first"))
+    of_node = of_node.select("node", "label").join(of_label, "label").select("node", "component_id", F.col("first.row").alias("first"))
+    out = having.select("doc_id", "row", "n_shingles", "node").join(of_node, "node").select("doc_id", "row", "n_shingles", "component_id", "first")
+    alone = feats.filter("node is null").select("doc_id", "row", "n_shingles", F.col("doc_id").alias("component_id"), F.col("row").alias("first"))
+    out = out.unionByName(alone)
+    if row:
+        return out.select("doc_id", "n_shingles", "component_id", (F.col("row") == F.col("first")).alias("kept"), F.col("row").alias(row))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

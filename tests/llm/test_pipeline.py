@@ -58,3 +58,13 @@ def test_each_stage_is_brute_force(steps):
 
 def test_run_is_the_stages(spark, sf, steps):
     assert sorted(map(tuple, P.run(spark, sf).collect())) == sorted(map(tuple, steps[4].collect()))
+
+
+def test_near_copies_go_by_row_not_by_id(spark, sf):
+    base = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdefg"]
+    rows = [(1, base[0]), (None, base[0] + " more"), (None, base[1]), (None, base[2]), (2, base[3]), (3, base[3] + " more"), (3, base[4])]
+    rows += [(None, base[5]), (None, base[5]), (4, base[6]), (4, base[6]), (None, None), (5, "")]
+    df = spark.createDataFrame([(d, t, "en", "x", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in P.keep_one_of_near_copies(spark, df, sf).collect()), key=str)
+    want = [(1, base[0]), (None, base[1]), (None, base[2]), (2, base[3]), (3, base[4]), (None, base[5]), (4, base[6]), (None, None), (5, "")]
+    assert got == sorted(want, key=str)
