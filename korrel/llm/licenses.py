@@ -1,8 +1,8 @@
 """License scans by a positional index of rare words, in DataFrame operations only.
 
 ``TEMPLATES`` are short wordings of public licences and notices, each with a key phrase that must stand in a file word by word.
-The words of all templates are counted over the whole corpus; of each template the words of highest inverse document frequency
-form the index, with their positions. A file's words are looked up in it: every hit names a template and the place where it
+The words of all templates are counted over the whole corpus; of each template's key phrase the words of highest inverse
+document frequency form the index, with their positions in the wording. A file's words are looked up in it: every hit names a template and the place where it
 would begin. Postings of one template at one place are then intersected by relative position: all template words that stand
 where they should, weighted by their rarity, give the match's share; the key phrase must be there whole. A phrase of ``BASE``
 is a template that is its own key phrase, so each of its places is found through its rarest word.
@@ -43,7 +43,7 @@ TEMPLATES = (
 )
 #: Words of the templates that ordinary text is full of: they count where a rarer word stands near, and open no search.
 COMMON = frozenset("a all and any are by following free in into is of or that the this to use with without work copy files person source version".split())
-#: Index words of each template, and the least share of a wording that makes a match.
+#: Index words of each key phrase, and the least share of a wording that makes a match.
 RARE, SHARE = 2, 0.5
 
 
@@ -93,10 +93,11 @@ def scan(docs: DataFrame, scratch: Scratch) -> DataFrame:
     idf = idf.select("word", F.log((F.col("total") + 1) / (F.coalesce("files", F.lit(0)) + 0.5)).alias("idf"))
     table = scratch.keep(table.join(idf, "word").withColumn("open", ~F.col("word").isin(sorted(COMMON))), "postings")
     order = W.partitionBy("template").orderBy(F.desc("open"), F.desc("idf"), "at")
-    index = table.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= RARE).filter("open").select("word", "template", "at")
+    # the key phrase must be whole, so each place of a match is found through any of its words
+    index = table.filter("must").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= RARE).filter("open").select("word", "template", "at")
 
     at = files.filter(F.size("hits") > 0).select("file", F.explode("hits").alias("h")).select("file", "h.pos", "h.word")
-    begins = at.join(F.broadcast(index), "word").select("file", "template", (F.col("pos") - F.col("at")).alias("begin")).filter("begin >= 0").distinct()
+    begins = at.join(F.broadcast(index), "word").select("file", "template", (F.col("pos") - F.col("at")).alias("begin")).distinct()
     should = begins.join(F.broadcast(table), "template").select("file", "template", "label", "kind", "begin", "must", "length", "idf", "word", (F.col("begin") + F.col("at")).alias("pos"))
     held = should.join(at.withColumn("there", F.lit(1)), ["file", "pos", "word"], "left")
     there = F.coalesce("there", F.lit(0))

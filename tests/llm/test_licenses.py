@@ -53,3 +53,12 @@ def test_own_labels(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_own_labels_open_at_the_key_phrase(spark):
+    # most files lack "associated documentation", and the key phrase may start a file
+    short = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
+    rows = [(i, short) for i in range(5)] + [(100, "Apache License, Version 2.0, January 2004"), (101, "CC BY-SA 4.0"), (102, "granted free of charge")]
+    got = {r.doc_id: r for r in run(spark, rows + [(1000 + i, "the quick brown fox") for i in range(200)])}
+    assert all(got[i].labels == "mit" for i in range(5)) and got[100].labels == "apache-2.0"
+    assert "cc-by-sa" in got[101].labels and got[102].labels == "" and got[1000].labels == ""
