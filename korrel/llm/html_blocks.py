@@ -10,6 +10,10 @@ from dataclasses import dataclass
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rb rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 RAW = ("script", "style", "template", "svg", "iframe", "textarea", "select", "title", "noscript", "object", "canvas", "math")
+#: Those of them whose text goes on to the end of the page where no closing tag follows; the others then hold what stands in them.
+ENDLESS = frozenset("script style textarea title iframe".split())
+#: Elements whose text readers may see: it is not dropped where they are closed either.
+SEEN = frozenset("math object noscript".split())
 #: An opening tag closes an open element of the first set, unless one of the second stands between.
 CLOSES = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
@@ -139,9 +143,13 @@ def blocks(page: str, paths: Paths) -> list[Block]:
             links = 0 if tag not in ("li", "p") else links
             continue
         if tag in RAW and not attributes.endswith("/"):
-            m = _CLOSE[tag].search(page, at)
-            at = m.end() if m else size
-            continue
+            m = None if tag in SEEN else _CLOSE[tag].search(page, at)
+            if m or tag in ENDLESS:
+                at = m.end() if m else size
+                continue
+            if tag not in SEEN:
+                # left open: what follows is read as if the tag were not there
+                continue
         if tag in VOID or tag in ("html", "head", "body"):
             continue
         if stack[-1][0] == "p":

@@ -84,3 +84,19 @@ def test_pages_table(spark, sf):
     docs = read(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("whole"))
     got = html_crf.main_text(read(spark, sf, "pages")).withColumn("id", F.regexp_extract("url", r"/[a-z]{2}/(\d+)", 1).cast("long")).join(docs, "id").collect()
     assert got and sum(r.text.endswith(" ".join(r.whole.split())) for r in got) >= 0.98 * len(got)
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p>a</p><svg><path d=x><p>b</p>", ["a", "b"]),
+        ("<header><select><option>o</header><article><p>b</p>", ["o", "b"]),
+        ("<p>a</p><template><p>b</p><canvas><p>c</p>", ["a", "b", "c"]),
+        ("<object data=x><p>a</p><p>b", ["a", "b"]),
+        ("<p>a</p><object><p>b</p></object><noscript><p>c</p></noscript><math><mi>x</mi></math><p>d</p>", ["a", "b", "c", "x", "d"]),
+        ("<svg><text>no</text></svg><select><option>no</select><p>a</p>", ["a"]),
+        ("<p>a</p><textarea><p>b</p>", ["a"]),
+    ],
+)
+def test_elements_without_a_closing_tag_drop_nothing_else(page, want):
+    assert texts(page) == want
