@@ -44,7 +44,9 @@ for _k, _words in CUES.items():
     for _w in _words.split():
         _CUE.setdefault(_w, []).append(_k)
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+#: Attributes up to the end of the tag; a ``>`` in quotes does not end it.
+_QUOTED = re.compile(r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>""")
 _CLOSE = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>?", re.I) for t in RAW}
 _ATTR = re.compile(r"""(?<![\w-])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
@@ -76,15 +78,19 @@ class Paths:
     def __init__(self):
         self.parent, self.tag, self.cue = [-1], ["body"], [frozenset()]
         self._known: dict[tuple, int] = {}
+        #: What a reader has worked out for paths, from the parent's to the child's.
+        self.state: dict[int, tuple] = {}
         self._cues: dict[str, frozenset[str]] = {"": frozenset()}
 
     def down(self, path: int, tag: str, attributes: str) -> int:
         attributes = attributes.strip("/ \n\t\r")
         cue = self._cues.get(attributes)
         if cue is None:
-            if len(self._cues) > 50_000:
-                self._cues = {"": frozenset()}
-            cue = self._cues[attributes] = cues(attributes)
+            cue = cues(attributes)
+            if len(attributes) <= 400:  # longer ones are read again rather than remembered
+                if len(self._cues) > 50_000:
+                    self._cues = {"": frozenset()}
+                self._cues[attributes] = cue
         key = (path, tag, cue)
         if key not in self._known:
             self._known[key] = len(self.tag)
@@ -94,12 +100,39 @@ class Paths:
         return self._known[key]
 
 
+class _Open:
+    """The open elements, and where those of each tag stand among them."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = [("body", 0)]
+        self.at: dict[str, list[int]] = {}
+
+    def push(self, tag: str, path: int) -> None:
+        self.at.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, path))
+
+    def last(self, tags) -> int:
+        """Place of the innermost open element with one of the tags; 0 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def close(self, place: int) -> None:
+        """End the element at ``place`` and all inside it."""
+        while len(self.stack) > place > 0:
+            self.at[self.stack.pop()[0]].pop()
+
+
 def blocks(page: str, paths: Paths) -> list[Block]:
-    """Leaf blocks of a page in order. Sloppy markup is read as browsers do, roughly: implied ends, stray ends, open ends."""
+    """Leaf blocks of a page in order. Sloppy markup is read as browsers do, roughly: implied ends, stray ends, open ends.
+
+    One pass: what a search did not find in the rest of the page is not searched for again, so time is in proportion to the page.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, int]] = [("body", 0)]
+    open_ = _Open()
+    stack = open_.stack
     held: list[str] = []
     linked, links, at = 0, 0, 0
+    quotes = ends = True  # whether quotes of attributes still pair up, and whether any tag still ends
+    unclosed: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -111,22 +144,31 @@ def blocks(page: str, paths: Paths) -> list[Block]:
 
     size = len(page)
     while at < size:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            held.append(page[at:])
+        start = page.find("<", at)
+        start = size if start < 0 else start
+        if start > at:
+            held.append(page[at:start])
             if links:
-                linked += size - at
-            break
-        if m.start() > at:
-            piece = page[at : m.start()]
-            held.append(piece)
-            if links:
-                linked += len(piece)
-        at = m.end()
-        name = m[2] or m[5]
-        if name is None:
+                linked += start - at
+            if start == size:
+                break
+        m = _OPEN.match(page, start) if ends or page[start + 1 : start + 2] in ("!", "?") else None
+        if m is not None and m[4] is None:
+            end = page.find("-->" if m[1] else ">", m.end())
+            at = size if end < 0 else end + (3 if m[1] else 1)
+            continue
+        tail = None
+        if m is not None:
+            tail = _QUOTED.match(page, m.end()) if quotes else None
+            stop = tail.end() - 1 if tail else page.find(">", m.end())
+            quotes, ends = tail is not None, stop >= 0
+        if m is None or not ends:
+            held.append("<")
+            linked += 1 if links else 0
+            at = start + 1
             continue
-        tag, end, attributes = name.lower(), (m[1] or m[4]) == "/", (m[3] or m[6] or "")
+        at = stop + 1
+        tag, end, attributes = m[4].lower(), m[3] == "/", page[m.end() : stop]
         if tag in INLINE:
             if tag == "a":
                 links = max(0, links - 1) if end else 1
@@ -136,33 +178,27 @@ def blocks(page: str, paths: Paths) -> list[Block]:
             continue
         flush()
         if end:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            open_.close(open_.last((tag,)))
             links = 0 if tag not in ("li", "p") else links
             continue
         if tag in RAW and not attributes.endswith("/"):
-            m = None if tag in SEEN else _CLOSE[tag].search(page, at)
+            m = None if tag in SEEN or tag in unclosed else _CLOSE[tag].search(page, at)
             if m or tag in ENDLESS:
                 at = m.end() if m else size
                 continue
             if tag not in SEEN:
                 # left open: what follows is read as if the tag were not there
+                unclosed.add(tag)
                 continue
         if tag in VOID or tag in ("html", "head", "body"):
             continue
         if stack[-1][0] == "p":
-            stack.pop()
+            open_.close(len(stack) - 1)
         if tag in CLOSES:
             same, fence = CLOSES[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in same:
-                    del stack[k:]
-                    break
-                if stack[k][0] in fence:
-                    break
-        if len(stack) < 400:
-            stack.append((tag, paths.down(stack[-1][1], tag, attributes)))
+            place = open_.last(same)
+            if place > open_.last(fence):
+                open_.close(place)
+        open_.push(tag, paths.down(stack[-1][1], tag, attributes))
     flush()
     return out

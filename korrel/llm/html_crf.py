@@ -45,34 +45,42 @@ _BAD_TAGS = frozenset(["nav", "header", "footer", "aside", "form", "dialog", "me
 _BAD_CUES = frozenset(["nav", "header", "footer", "side", "ad", "notice", "comment", "share", "form", "hidden"])
 
 
+#: Bits of the features that an ancestor's tag and what its attributes say set.
+_TAG_BIT = {t: 1 << _AT[f"above:{t}"] for t in _ABOVE}
+_CUE_BIT = {c: 1 << _AT[f"cue:{c}"] for c in CUES}
+
+
+def _step(state: tuple, tag: str, cue: frozenset) -> tuple:
+    """(bits, good, bad, bad inside good, header, depth) of a path from those of its parent."""
+    bits, good, bad, inner_bad, header, depth = state
+    bits |= _TAG_BIT.get(tag, 0)
+    for c in cue:
+        bits |= _CUE_BIT[c]
+    is_bad = tag in _BAD_TAGS or (bool(cue & _BAD_CUES) and "main" not in cue)
+    is_good = (tag in _GOOD_TAGS or "main" in cue) and not is_bad
+    return bits, good or is_good, bad or is_bad, inner_bad or (good and is_bad), header or tag == "header", depth + 1
+
+
 def path_features(paths: Paths, path: int) -> tuple[int, ...]:
-    """Numbers of the features that follow from a block's ancestors alone."""
-    tag, cue = paths.tag[path], paths.cue[path]
-    out = {_AT[f"tag:{tag}"] if f"tag:{tag}" in _AT else _AT["tag:?"], *(_AT[f"own:{c}"] for c in cue)}
-    depth, good, bad, header = 0, False, False, False
-    inner_bad = False
-    p = path
-    while p >= 0:
-        t, c = paths.tag[p], paths.cue[p]
-        if f"above:{t}" in _AT:
-            out.add(_AT[f"above:{t}"])
-        out.update(_AT[f"cue:{x}"] for x in c)
-        is_bad = t in _BAD_TAGS or (bool(c & _BAD_CUES) and "main" not in c)
-        if (t in _GOOD_TAGS or "main" in c) and not is_bad:
-            good = True
-            inner_bad = inner_bad or bad
-        if t == "header":
-            header = True
-        bad = bad or is_bad
-        depth += 1
+    """Numbers of the features that follow from a block's ancestors alone. Each path is worked out once, from its parent's state."""
+    todo, p, known = [], path, paths.state
+    while p >= 0 and p not in known:
+        todo.append(p)
         p = paths.parent[p]
+    state = known[p] if p >= 0 else (0, False, False, False, False, 0)
+    for p in reversed(todo):
+        state = known[p] = _step(state, paths.tag[p], paths.cue[p])
+    bits, good, bad, inner_bad, header, depth = state
+    tag = paths.tag[path]
+    out = [k for k in range(bits.bit_length()) if bits >> k & 1]
+    out += [_AT[f"tag:{tag}"] if f"tag:{tag}" in _AT else _AT["tag:?"], *(_AT[f"own:{c}"] for c in paths.cue[path])]
     if good and bad and inner_bad:
-        out.add(_AT["bad-in-good"])
+        out.append(_AT["bad-in-good"])
     if good and not bad:
-        out.add(_AT["good-only"])
+        out.append(_AT["good-only"])
     if header and good and inner_bad and tag in ("h1", "h2"):
-        out.add(_AT["heading-in-header-of-article"])
-    out.add(_AT[f"depth:{min(4, depth // 2)}"])
+        out.append(_AT["heading-in-header-of-article"])
+    out.append(_AT[f"depth:{min(4, depth // 2)}"])
     return tuple(sorted(out))
 
 
@@ -165,49 +173,75 @@ def train(pages: list[tuple[str, list[str]]], passes: int = PASSES) -> Field:
             chains.append(_chain(own, paths, known))
             labels.append(y)
             same.append([0] + [int(paths.parent[a.path] == paths.parent[b.path]) for a, b in zip(own, own[1:], strict=False)])
-    n, m = len(chains), max(map(len, chains))
-    x = np.zeros((n, m, len(_NAMES)), np.float32)
-    y, s, live = np.zeros((n, m), np.int64), np.zeros((n, m), np.int64), np.zeros((n, m), bool)
-    for i, c in enumerate(chains):
-        for t, f in enumerate(c):
-            x[i, t, f] = 1
-        y[i, : len(c)], s[i, : len(c)], live[i, : len(c)] = labels[i], same[i], True
-    flat = x[live]
-    emit, move = np.zeros(len(_NAMES)), np.zeros((2, 2, 2))
-    size = np.full(len(_NAMES) + 8, 0.05)
+    gradient, n = likelihood(chains, labels, same), len(_NAMES)
+    emit, move = np.zeros(n), np.zeros((2, 2, 2))
+    size = np.full(n + 8, 0.05)
     last = np.zeros(len(size))
-    rows = np.arange(n)
     for _ in range(passes):
-        e = np.zeros((n, m, 2))
-        e[..., 1][live] = flat @ emit.astype(np.float32)
-        alpha = np.zeros((n, m, 2))
-        alpha[:, 0] = e[:, 0]
-        for t in range(1, m):
-            step = np.logaddexp.reduce(alpha[:, t - 1, :, None] + move[s[:, t]], axis=1) + e[:, t]
-            alpha[:, t] = np.where(live[:, t, None], step, alpha[:, t - 1])
-        beta = np.zeros((n, m, 2))
-        for t in range(m - 2, -1, -1):
-            step = np.logaddexp.reduce(move[s[:, t + 1]] + (e[:, t + 1] + beta[:, t + 1])[:, None, :], axis=2)
-            beta[:, t] = np.where(live[:, t + 1, None], step, 0)
-        z = np.logaddexp.reduce(alpha[:, -1], axis=1)
-        p1 = np.exp(np.clip(alpha[..., 1] + beta[..., 1] - z[:, None], -50, 0))
-        g_emit = ((y - p1)[live]) @ flat - RIDGE * emit
-        g_move = -RIDGE * move
-        for t in range(1, m):
-            on = live[:, t]
-            pair = np.exp(np.clip(alpha[on, t - 1, :, None] + move[s[on, t]] + (e[on, t] + beta[on, t])[:, None, :] - z[on, None, None], -50, 0))
-            np.subtract.at(g_move, s[on, t], pair)
-            np.add.at(g_move, (s[on, t], y[on, t - 1], y[on, t]), 1.0)
-        grad = np.concatenate([g_emit, g_move.ravel()])
+        _, g_emit, g_move = gradient(emit, move)
+        grad = np.concatenate([g_emit - RIDGE * emit, (g_move - RIDGE * move).ravel()])
         turn = grad * last
         size = np.clip(np.where(turn > 0, size * 1.2, np.where(turn < 0, size * 0.5, size)), 1e-6, 0.5)
         grad = np.where(turn < 0, 0, grad)
         step = np.sign(grad) * size
-        emit, move, last = emit + step[: len(emit)], move + step[len(emit) :].reshape(2, 2, 2), grad
-    del rows
+        emit, move, last = emit + step[:n], move + step[n:].reshape(2, 2, 2), grad
     return Field(emit, move)
 
 
+def likelihood(chains: list[list[list[int]]], labels: list[list[int]], same: list[list[int]]):
+    """A function of (emit, move): the log-likelihood of labelled chains and its gradient in both, by forward-backward.
+
+    Chains stand in order of falling length, so those that reach step t are the first ``live[t]``.
+    """
+    order = sorted(range(len(chains)), key=lambda i: -len(chains[i]))
+    n, m = len(chains), max(map(len, chains))
+    live = [sum(len(c) > t for c in chains) for t in range(m)]
+    y, s = np.zeros((m, n), np.int64), np.zeros((m, n), np.int64)
+    rows = np.zeros((m, n), np.int64)  # where block t of chain i stands in ``flat``
+    flat, k = np.zeros((sum(map(len, chains)), len(_NAMES)), np.float32), 0
+    for at, i in enumerate(order):
+        for t, f in enumerate(chains[i]):
+            flat[k, f] = 1
+            y[t, at], s[t, at], rows[t, at] = labels[i][t], same[i][t], k
+            k += 1
+    told = np.zeros(len(flat))
+    for t in range(m):
+        told[rows[t, : live[t]]] = y[t, : live[t]]
+    seen_emit = (told.astype(np.float32) @ flat).astype(float)
+    seen_move = np.zeros((2, 2, 2))
+    for t in range(1, m):
+        np.add.at(seen_move, (s[t, : live[t]], y[t - 1, : live[t]], y[t, : live[t]]), 1.0)
+
+    def value(emit: np.ndarray, move: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        e = flat @ emit.astype(np.float32)
+        alpha = np.zeros((m, n, 2))
+        alpha[0, :, 1] = e[rows[0]]
+        for t in range(1, m):
+            on, w = live[t], move[s[t, : live[t]]]
+            alpha[t, :on] = np.logaddexp(alpha[t - 1, :on, 0, None] + w[:, 0], alpha[t - 1, :on, 1, None] + w[:, 1])
+            alpha[t, :on, 1] += e[rows[t, :on]]
+            alpha[t, on:] = alpha[t - 1, on:]
+        z = np.logaddexp(alpha[-1, :, 0], alpha[-1, :, 1])
+        p, g_move = np.zeros(len(flat)), seen_move.copy()
+        beta = np.zeros((n, 2))
+        for t in range(m - 1, -1, -1):
+            on = live[t]
+            p[rows[t, :on]] = np.exp(np.clip(alpha[t, :on, 1] + beta[:on, 1] - z[:on], -50, 0))
+            if not t:
+                break
+            w, ahead = move[s[t, :on]], beta[:on].copy()
+            ahead[:, 1] += e[rows[t, :on]]
+            w = w + ahead[:, None, :]
+            pair = np.exp(np.clip(alpha[t - 1, :on, :, None] + w - z[:on, None, None], -50, 0))
+            for kind in (0, 1):
+                g_move[kind] -= pair[s[t, :on] == kind].sum(axis=0)
+            beta[:on] = np.logaddexp(w[:, :, 0], w[:, :, 1])
+        score = float(e @ told) + float((seen_move * move).sum()) - float(z.sum())
+        return score, seen_emit - p.astype(np.float32) @ flat, g_move
+
+    return value
+
+
 @functools.lru_cache(maxsize=2)
 def trained(pages: int = PAGES, seed: int = 0) -> Field:
     return train(labelled(pages, seed))

@@ -100,3 +100,57 @@ def test_pages_table(spark, sf):
 )
 def test_elements_without_a_closing_tag_drop_nothing_else(page, want):
     assert texts(page) == want
+
+
+def test_likelihood_is_enumeration(field):
+    rnd = np.random.default_rng(2)
+    chains = [[sorted(rnd.choice(len(html_crf._NAMES), 4, replace=False).tolist()) for _ in range(n)] for n in (3, 1, 5, 3)]
+    labels = [rnd.integers(0, 2, len(c)).tolist() for c in chains]
+    same = [[0, *rnd.integers(0, 2, len(c) - 1).tolist()] for c in chains]
+    emit, move = rnd.normal(size=len(html_crf._NAMES)), rnd.normal(size=(2, 2, 2))
+
+    def exact(emit, move):
+        total = 0.0
+        for c, y, s in zip(chains, labels, same, strict=True):
+            def score(z, c=c, s=s):
+                return sum(emit[f].sum() for f, one in zip(c, z, strict=True) if one) + sum(move[s[t], z[t - 1], z[t]] for t in range(1, len(z)))
+
+            total += score(y) - np.logaddexp.reduce([score(z) for z in itertools.product((0, 1), repeat=len(c))])
+        return total
+
+    score, g_emit, g_move = html_crf.likelihood(chains, labels, same)(emit, move)
+    assert score == pytest.approx(exact(emit, move), abs=1e-4)
+    for g, x in ((g_emit, emit), (g_move, move)):
+        for at in np.ndindex(x.shape):
+            up, down = x.copy(), x.copy()
+            up[at] += 1e-4
+            down[at] -= 1e-4
+            slope = (exact(*((up, move) if x is emit else (emit, up))) - exact(*((down, move) if x is emit else (emit, down)))) / 2e-4
+            assert g[at] == pytest.approx(slope, abs=1e-4)
+
+
+def test_deep_pages_have_their_true_ancestors():
+    n, paths = 1000, Paths()
+    page = "<nav>" + "<div>" * n + "<p>a</p>" + "</div>" * n + "</nav>" + "<article>" + "<section>" * n + "<p>b</p>" + "</section>" * n + "</article><p>c"
+    own = blocks(page, paths)
+    assert [b.text for b in own] == ["a", "b", "c"]
+    above = []
+    for b in own:
+        p, tags = b.path, set()
+        while p >= 0:
+            tags.add(paths.tag[p])
+            p = paths.parent[p]
+        above.append(tags)
+        names = {html_crf._NAMES[k] for k in html_crf.path_features(paths, b.path)}
+        assert {n for n in names if n.startswith("above:")} == {f"above:{t}" for t in tags & set(html_crf._ABOVE)}
+    assert above == [{"body", "nav", "div", "p"}, {"body", "article", "section", "p"}, {"body", "p"}]
+
+
+@pytest.mark.parametrize("page", ['<div x="', "<div>", "<svg>", "</x><div>", '<a ">" ', "<ul><div><li></li>", "<!--", "<a<", "<", "&", "<td><option>", "<p><b>x", "<svg/><!x"])
+def test_long_malformed_pages_take_linear_time(field, page):
+    import time
+
+    worker, size = html_crf.Extractor(field), 1 << 20
+    start = time.process_time()
+    worker.article((page * (size // len(page) + 1))[:size] + "'")
+    assert time.process_time() - start < 10
