@@ -8,12 +8,16 @@ Documents: a source is first taken in whole epochs, as many as fit. For the rest
 and documents are taken in the order of the keys until their sizes add up to what is missing; of the two prefixes around it
 the nearer one is taken. Where the prefix ends is found without sorting a source: sizes are summed by cells of the key, then by
 finer cells within the one that holds the end, and only the documents of one finer cell are put in order. The end (a key, a
-doc_id, a text hash) is one row for each source, so whether a document is taken is decided on its own row.
+doc_id, a row number) is one row for each source, so whether a document is taken is decided on its own row.
 
-Keys come from a hash of the doc_id and the seed: reruns agree. Quality falls with the share of symbol characters.
+Texts are measured once: rows are written with what was measured, and all further passes read those columns.
 
-Cases: null and empty texts have size 0 and are never taken. A null source is a source. Null ids take part, after the other ids
-of an equal key; equal rows are taken one by one. Without any word all targets are 0. Extra columns stay.
+Keys come from a hash of the seed and the doc_id, or of the row number where there is no id: reruns over the same files agree.
+Quality falls with the share of symbol characters.
+
+Cases: null and empty texts have size 0 and are never taken. A null source is a source. Rows with null ids have keys of their
+own; rows that repeat an id share its key and are taken one by one, by text and row, as equal rows are. Without any word all
+targets are 0; an empty table gives an empty one. Extra columns stay, but for those named like a result, which are replaced.
 """
 
 from __future__ import annotations
@@ -40,9 +44,10 @@ def quality_of(text: Column, size: Column) -> Column:
     return F.greatest(F.lit(0.1), F.lit(1.0) / (1.0 + 2.0 * symbols / F.greatest(size, F.lit(1))))
 
 
-def uniform(doc_id: Column, seed: str) -> Column:
-    """A number in (0, 1) with 52 random bits."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def uniform(doc_id: Column, seed: str, row: Column | None = None) -> Column:
+    """A number in (0, 1) with 52 random bits, by the id, or by the row where that is null."""
+    other = F.lit("") if row is None else F.concat(F.lit("row "), row.cast("string"))
+    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), other)))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
@@ -52,9 +57,10 @@ def measured(docs: DataFrame, seed: str = "mix", quality: Column | None = None)
     text = F.col("text").cast("string")
     size = size_of(text)
     name = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-    sized = docs.withColumn(m, F.struct(name.alias("name"), size.alias("size")))
-    key = -F.log(uniform(F.col("doc_id"), seed)) / (quality_of(text, F.col(f"{m}.size")) if quality is None else quality)
-    rank = F.struct(key.alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(text).alias("tie"))
+    sized = docs.withColumn(m, F.struct(name.alias("name"), size.alias("size"), F.monotonically_increasing_id().alias("row")))
+    row = F.col(f"{m}.row")
+    key = -F.log(uniform(F.col("doc_id"), seed, row)) / (quality_of(text, F.col(f"{m}.size")) if quality is None else quality)
+    rank = F.struct(key.alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(text).alias("tie"), row.alias("row"))
     return sized.withColumn(m, F.struct(F.col(f"{m}.name"), F.col(f"{m}.size"), rank.alias("rank"))), m
 
 
@@ -126,14 +132,10 @@ def taken(size: Column, rank: Column, end: Column) -> Column:
 
 
 def mix(docs: DataFrame, scratch: Scratch, seed: str = "mix", quality: Column | None = None, narrow: bool = False) -> DataFrame:
-    """``docs`` (with doc_id, text and source) with size, source_size, target and taken.
-
-    With ``narrow`` the text is left out, and what was measured is written and read again, so that texts are read once.
-    """
-    docs, m = measured(docs, seed, quality)
-    if narrow:
-        docs = scratch.keep(docs.drop("text"), "measured")
-    own = [c for c in docs.columns if c not in (m, "size", "source_size", "target", "taken")]
+    """``docs`` (with doc_id, text and source) with size, source_size, target and taken; ``narrow`` leaves the text out."""
+    docs, m = measured(docs.drop("size", "source_size", "target", "taken"), seed, quality)
+    docs = scratch.keep(docs.drop("text") if narrow else docs, "measured")
+    own = [c for c in docs.columns if c != m]
     end = ends(docs.select(f"{m}.*"), scratch)
     (e,) = fresh(docs, "_end")
     joined = docs.join(end.select(F.struct(*end.columns).alias(e)), F.col(f"{m}.name") == F.col(f"{e}.name"))

@@ -76,3 +76,14 @@ def test_edge_cases(spark):
     assert run(spark, []) == []
     got = run(spark, [(None, "x y", "a"), (None, "x y", "a"), (5, "x\x0by", "a"), (5, "x\x0by", "a")])
     assert sum(r.taken for r in got) == 12 and all(r.size == 2 for r in got)
+
+
+def test_copies_and_long_texts(spark):
+    # a third of all rows is one text without an id, another third repeats one id: rows are taken one by one all the same
+    rows = [(None, "same words here", "a")] * 300 + [(7, f"other words {i}", "a") for i in range(300)] + [(1000 + i, "w " * (50_000 if i == 0 else 5), "b") for i in range(300)]
+    got = run(spark, rows)
+    want = water({"a": 1800, "b": 51_495})
+    for s in "ab":
+        taken = [r.taken for r in got if r.source == s]
+        assert abs(sum(taken) - want[s]) <= max(r.size for r in got if r.source == s) / 2 + 1e-6
+    assert sorted(r.taken for r in got) == sorted(r.taken for r in run(spark, rows, narrow=True))
