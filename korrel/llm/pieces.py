@@ -182,7 +182,7 @@ def model_bytes(path: str) -> bytes:
 
 
 def encode_decode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
-    """``docs`` with the ids of each whole text and the text that those ids decode to."""
+    """``docs`` with the ids of each whole text and the text that those ids decode to; columns of these names are replaced."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # the model file: its size does not depend on the data
@@ -205,10 +205,11 @@ def encode_decode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col
     return docs.mapInArrow(released(run), schema)
 
 
-def digests(coded: DataFrame, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of coded documents."""
+def digests(coded: DataFrame, *also: str, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """doc_id, the columns ``also``, n_tokens, ids_sha256 and decoded_sha256 of coded documents."""
     return coded.select(
         "doc_id",
+        *also,
         F.size(ids_col).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col(ids_col).cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col(decoded_col), 256).alias("decoded_sha256"),

@@ -283,8 +283,27 @@ def spans_of(at: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, scratch: Scratch, text_col: str = "text", spans_col: str = "spans", kept_col: str = "kept") -> DataFrame:
-    """``docs`` with the removed byte runs [start, end) and the remaining bytes of each text."""
+def whole_characters(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs, made wider so that each holds the whole of every character that it touches."""
+    out: list[tuple[int, int]] = []
+    for a, b in runs:
+        while a > 0 and data[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(data) and data[b] & 0xC0 == 0x80:
+            b += 1
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def remove_repeats(docs: DataFrame, scratch: Scratch, text_col: str = "text", spans_col: str = "spans", kept_col: str = "kept", as_text: bool = False) -> DataFrame:
+    """``docs`` with the removed byte runs [start, end) and the remaining bytes of each text.
+
+    With ``as_text`` a character goes as soon as one of its bytes does, and what remains is a string. Columns of ``docs`` that are
+    named like ``spans_col`` or ``kept_col`` are replaced.
+    """
     tid, at, own = fresh(docs, "tid", "at", "own_text")
     own_text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keyed = docs.select("*", own_text.alias(own), F.unhex(F.md5(own_text)).alias(tid))
@@ -293,7 +312,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, text_col: str = "text", sp
     stay = [f for f in docs.schema.fields if f.name not in (spans_col, kept_col)]
     joined = keyed.join(spans, tid, "left").select(*(F.col(f.name) for f in stay), own, at)
     run_type = T.StructType([T.StructField("start", T.LongType(), False), T.StructField("end", T.LongType(), False)])
-    schema = T.StructType(stay + [T.StructField(spans_col, T.ArrayType(run_type, False), False), T.StructField(kept_col, T.BinaryType(), False)])
+    schema = T.StructType(stay + [T.StructField(spans_col, T.ArrayType(run_type, False), False), T.StructField(kept_col, T.StringType() if as_text else T.BinaryType(), False)])
     names = [f.name for f in schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,10 +322,12 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, text_col: str = "text", sp
                 spans, kept = [], []
                 for text, where in zip(batch.column(len(stay)), batch.column(len(stay) + 1), strict=True):
                     data, runs = text.as_buffer().to_pybytes(), spans_of(where.as_py())
+                    runs = whole_characters(data, runs) if as_text else runs
                     spans.append([{"start": a, "end": b} for a, b in runs])
                     ends = [0, *(b for _, b in runs)]
                     kept.append(b"".join(data[a:b] for a, b in zip(ends, [*(a for a, _ in runs), len(data)], strict=True)))
                 kind = pa.list_(pa.struct([pa.field("start", pa.int64(), False), pa.field("end", pa.int64(), False)]))
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(stay)], pa.array(spans, kind), _binary(kept)], names=names)
+                rest = pa.array([k.decode() for k in kept], pa.string()) if as_text else _binary(kept)
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(stay)], pa.array(spans, kind), rest], names=names)
 
     return joined.mapInArrow(released(run), schema)
