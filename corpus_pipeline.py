@@ -2,6 +2,11 @@
 
 Stages are functions of (spark, docs, sf_dir). All but the last return the columns of ``documents``; n_chars is kept true to the
 text. Every row is a document of its own where a stage keeps one document of each group, whatever its doc_id.
+
+Cases: a null text is read as an empty one; it is classified and kept or not like any other, it is no near copy of anything,
+loses nothing to the cut (which makes it the empty text) and has size 0, so that the mix, which takes words, leaves it out. Null
+ids, languages and sources are values of their own; rows that share or lack an id are told apart. An empty table gives an empty
+one. Columns other than those of ``documents`` are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,15 +37,9 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated 200-byte strings; bytes of a character that lost some of its bytes go too."""
-    out = repeats.remove_repeats(docs.select(*COLUMNS), Scratch(spark, "cut-repeats"), spans_col="_spans", kept_col="_kept")
-    text = F.when(F.size("_spans") == 0, F.coalesce("text", F.lit(""))).otherwise(_valid(F.col("_kept")))
-    return out.select("doc_id", text.alias("text"), "lang", "source").withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
-
-
-def _valid(kept):
-    """A binary column as text, without bytes that are no whole character."""
-    return F.replace(F.make_valid_utf8(kept.cast("string")), F.lit("�"), F.lit(""))
+    """Texts without repeated 200-byte strings; a character that loses some of its bytes goes whole, no other one does."""
+    out = repeats.remove_repeats(docs.select(*COLUMNS), Scratch(spark, "cut-repeats"), spans_col="_spans", kept_col="_kept", as_text=True)
+    return out.select("doc_id", F.col("_kept").alias("text"), "lang", "source").withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +50,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and digests of each document's text."""
+    """The token ids of each document's text, and digests of them and of what they decode to."""
     coded = pieces.encode_decode(docs.select("doc_id", "text"), pieces.model_bytes(tokenizer_path()))
-    return pieces.digests(coded)
+    return pieces.digests(coded, "ids")
 
 
 STAGES = [
