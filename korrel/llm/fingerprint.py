@@ -6,9 +6,14 @@ documents: a few probes at first, then the order of a second hash over the bins
 stored, as one hexadecimal digit. Two sets of likeness J agree in a digit with probability J + (1 - J) / 16, and the likeness
 that is returned is corrected for that.
 
+The next document stands in the same block or is the first of the next block. Blocks are cut at quantiles of a bounded sample of
+the whole order (id, text hash, row), so that neither an id far from the others nor one that a third of all rows have, null
+included, makes a block large.
+
 Cases: null and empty texts, and texts without words, have a fingerprint of dashes; it is like another such fingerprint and
 unlike any other. Texts of fewer than five words have their whole sequence as the only shingle. Rows that repeat a doc_id, and
-null ids, which come last, are ordered by a hash of the text. A single document is its own next one. Extra columns are not read.
+null ids, which come last, are ordered by a hash of the text, then by their place in the files. A single document is its own next
+one; an empty table gives an empty one. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -22,8 +27,10 @@ from .common import Scratch
 SHINGLE, BINS, BITS, PROBES = 5, 256, 4, 8
 #: Low bits of a 63-bit hash, below the bin's number.
 VALUE = 55
-#: Documents that are put in order together, on average.
-BLOCK = 1024
+#: Documents that are put in order together, on average; most blocks; and sampled rows for each border of two blocks.
+BLOCK, BLOCKS, SAMPLED = 256, 16_384, 16
+#: Borders are looked up among the first ones of runs of so many, then in one run.
+RUN = 128
 _TOP = (1 << VALUE) - 1
 
 
@@ -43,14 +50,21 @@ def _literal(values: list) -> Column:
     return F.array(*(_literal(v) if isinstance(v, list) else F.lit(v) for v in values))
 
 
+def hashes_of(text: Column) -> tuple[Column, Column]:
+    """The hashes of a text's words, and, of an array of such hashes named ``_words``, those of its shingles (63 bits)."""
+    words = F.array_remove(F.split(F.coalesce(text.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    w, positive = F.col("_words"), F.lit((1 << 63) - 1)
+    starts = F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0)))
+    many = F.transform(starts, lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(SHINGLE))).bitwiseAND(positive))
+    return F.transform(words, lambda x: F.xxhash64(x)), F.when(F.size(w) >= SHINGLE, many).otherwise(F.array(F.xxhash64(w).bitwiseAND(positive)))
+
+
 def with_digits(df: DataFrame, text: str, digits: str) -> DataFrame:
     """``df`` with the digits (an array of bytes) of the text column; an empty array if the text has no words."""
     own = [c for c in df.columns if c != digits]
-    words = F.array_remove(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    words, many = hashes_of(F.col(text))
     df = df.select(*own, words.alias("_words"))
     n = F.size("_words")
-    positive = F.lit((1 << 63) - 1)
-    many = F.transform(F.sequence(F.lit(1), F.greatest(n - (SHINGLE - 1), F.lit(1))), lambda i: F.xxhash64(F.slice("_words", i, SHINGLE)).bitwiseAND(positive))
     # the greatest value of every bin stands for an empty one, so that each bin has a first value
     ends = _literal([(b << VALUE) | _TOP for b in range(BINS)])
     df = df.select(*own, n.alias("_n"), F.sort_array(F.concat(many, ends)).alias("_hashes"))
@@ -89,24 +103,57 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(estimate)
 
 
+def _key() -> Column:
+    """The order of the documents: descending ids, null last, then the text's hash, then the row's place."""
+    down = F.coalesce(F.bitwise_not(F.col("doc_id").cast("long")), F.lit(0).cast("long"))
+    return F.struct(F.col("doc_id").isNull().alias("without"), down.alias("down"), F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"))
+
+
+def _borders(keys: DataFrame) -> DataFrame:
+    """One row: the borders between blocks, in runs, and the first border of each run."""
+    n = keys.count()
+    blocks = max(1, min(BLOCKS, -(-n // BLOCK)))
+    bound = SAMPLED * blocks
+    share = int(min(1.0, bound / max(n, 1)) * (1 << 31))
+    some = keys.filter(F.pmod(F.xxhash64("key.row", "key.tie", F.lit("borders")), F.lit(1 << 31)) < share)
+    row = some.agg(F.sort_array(F.collect_list("key")).alias("s"))
+    cuts = F.transform(F.sequence(F.lit(1), F.lit(max(1, blocks - 1))), lambda i: F.get("s", F.floor(i * F.size("s") / blocks).cast("int")))
+    # without any document, or with one block, there is no border
+    row = row.select(F.when((F.size("s") > 0) & F.lit(blocks > 1), cuts).otherwise(F.slice("s", 1, 0)).alias("cuts"))
+    runs = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size("cuts") - 1, F.lit(0)) / RUN).cast("int")), lambda i: F.slice("cuts", i * RUN + 1, RUN))
+    row = row.select(runs.alias("runs"))
+    return row.select("runs", F.filter(F.transform("runs", lambda r: F.get(r, F.lit(0))), lambda x: x.isNotNull()).alias("heads"))
+
+
+def _placed(rows: DataFrame, borders: DataFrame) -> DataFrame:
+    """``rows(key, ...)`` with the number of their block: the borders that are not above their key."""
+    own = rows.columns
+    rows = rows.join(F.broadcast(borders))  # a single row of bounded size
+    rows = rows.withColumn("run", F.size(F.filter("heads", lambda h: h <= F.col("key"))) - 1)
+    inside = F.size(F.filter(F.get("runs", F.col("run")), lambda b: b <= F.col("key")))
+    return rows.select(*own, F.when(F.col("run") < 0, 0).otherwise(F.col("run") * RUN + inside).alias("block"))
+
+
 def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``docs(doc_id, text)`` with digits, and text and digits of the next document in descending doc_id, the first after the last.
 
-    Ids are cut into blocks; texts are shuffled once, by block, and the first document of the next block is a guest in each.
+    Texts are shuffled once, by block, and the first document of the next block is a guest in each.
     """
-    r = docs.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).first()
-    lo, wide = r.lo or 0, max(1, ((r.hi or 0) - (r.lo or 0) + 1) * BLOCK // max(r.n, 1))
-    placed = docs.withColumn("block", F.coalesce(F.floor((F.col("doc_id").cast("decimal(38,0)") - lo) / wide).cast("long"), F.lit(-1)))
-    heads = placed.groupBy("block").agg(F.max("doc_id").alias("head"))
-    # the block before, in the order of descending ids, is the next one above; the topmost block's head goes to the lowest
-    above = F.coalesce(F.lag("block").over(W.orderBy(F.desc("block"))), F.min("block").over(W.partitionBy()))
-    heads = scratch.keep(heads.select("head", above.alias("host"), F.col("block").alias("home")), "heads")
-    guests = placed.join(heads, F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("block") == F.col("home")))
-    both = placed.withColumn("guest", F.lit(0)).unionByName(guests.select("doc_id", "text", F.col("host").alias("block"), F.lit(1).alias("guest")))
-    both = with_digits(both.withColumn("tie", F.xxhash64("text")), "text", "digits")
-    order = W.partitionBy("block").orderBy("guest", F.desc_nulls_last("doc_id"), "tie")
+    keyed = docs.withColumn("key", _key())
+    keys = scratch.keep(keyed.select("key"), "keys")
+    borders = scratch.keep(_borders(keys), "borders")
+    heads = _placed(keys, borders).groupBy("block").agg(F.min("key").alias("head"))
+    # at most BLOCKS rows: each block's first document is a guest of the block before, that of the first block one of the last block
+    before = F.coalesce(F.lag("block").over(W.orderBy("block")), F.max("block").over(W.partitionBy()))
+    heads = scratch.keep(heads.select("head.without", "head.down", "head.tie", before.alias("host")), "heads")
+    is_head = (F.col("key.without") == F.col("without")) & (F.col("key.down") == F.col("down")) & (F.col("key.tie") == F.col("tie"))
+    guests = keyed.join(F.broadcast(heads), is_head).groupBy(F.col("host").alias("block")).agg(F.first("text").alias("text"))
+    guests = guests.select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(None).cast(keys.schema["key"].dataType).alias("key"), "block", F.lit(1).alias("guest"))
+    both = _placed(keyed, borders).withColumn("guest", F.lit(0)).select("doc_id", "text", "key", "block", "guest").unionByName(guests)
+    both = with_digits(both, "text", "digits")
+    order = W.partitionBy("block").orderBy("guest", "key")
     both = both.withColumn("next_text", F.lead("text").over(order)).withColumn("next_digits", F.lead("digits").over(order))
-    return both.filter("guest = 0").drop("guest", "tie", "block")
+    return both.filter("guest = 0").drop("guest", "key", "block")
 
 
 def fingerprints(docs: DataFrame, scratch: Scratch) -> DataFrame:
