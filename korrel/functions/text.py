@@ -40,6 +40,14 @@ def clean(x: Column) -> Column:
     return _collapse(F.regexp_replace(F.replace(F.lower(known(x)), F.lit("&"), F.lit(" and ")), PUNCTUATION, " "))
 
 
+def first_words(x: Column, n: int) -> Column:
+    """The first ``n`` words of the cleaned text. A long text is cut at its first places only, not cleaned as a whole."""
+    # each piece but a leading empty one holds a word; the last one is the unread rest
+    pieces = F.slice(F.split(F.lower(known(x)), r"[^\p{L}\p{N}_&]+", n + 2), 1, n + 1)
+    joined = _collapse(F.replace(F.array_join(pieces, " "), F.lit("&"), F.lit(" and ")))
+    return F.slice(tokens(joined), 1, n)
+
+
 def name(x: Column) -> Column:
     """Business name with contracted designators."""
     return _mapped(clean(x), D.NAME_WORDS)

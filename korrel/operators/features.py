@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as S
 from ..functions import text as T
 
+#: The names of the features, in their order.
 NAMES = (
     "name_edit_sim", "name_root_edit_sim", "name_token_sort_sim", "name_token_set_sim", "name_jaccard_word", "name_jaccard_char_3gram",
     "name_exact_match", "name_length_diff", "addr_edit_sim", "addr_token_sort_sim", "addr_token_set_sim", "addr_jaccard_word",
@@ -16,28 +17,38 @@ NAMES = (
 )
 
 
+_TEXTS = ("name", "addr", "country", "root", "name_sorted", "addr_sorted")
+_SETS = ("name_words", "name_grams", "addr_words", "addr_grams", "nums")
+
+
 def prepare(entities: DataFrame) -> DataFrame:
-    """entity_id and ``e``: normalized texts, their word, 3-gram and number sets."""
+    """entity_id and ``e``: normalized texts, their words in order, and their word, 3-gram and number sets, sorted."""
     base = entities.select("entity_id", T.name(F.col("business_name")).alias("name"), T.address(F.col("business_address")).alias("addr"), T.numbers(F.col("business_address")).alias("nums"), T.country(F.col("country")).alias("country"))
-    return base.select(
-        "entity_id",
-        F.struct(
-            "name", "addr", "country", T.root(F.col("name")).alias("root"), T.words(F.col("name")).alias("name_words"), T.ngrams(F.col("name")).alias("name_grams"),
-            T.words(F.col("addr")).alias("addr_words"), T.ngrams(F.col("addr")).alias("addr_grams"), F.array_distinct(F.coalesce("nums", F.array().cast("array<string>"))).alias("nums"),
-        ).alias("e"),
-    )
+    values = {
+        "name": F.col("name"), "addr": F.col("addr"), "country": F.col("country"), "root": T.root(F.col("name")),
+        "name_sorted": S.in_order(F.col("name")), "addr_sorted": S.in_order(F.col("addr")),
+        "name_words": F.sort_array(T.words(F.col("name"))), "name_grams": T.ngrams(F.col("name")),
+        "addr_words": F.sort_array(T.words(F.col("addr"))), "addr_grams": T.ngrams(F.col("addr")),
+        "nums": F.sort_array(F.array_distinct(F.coalesce("nums", F.array().cast("array<string>")))),
+    }
+    return base.select("entity_id", F.struct(*(values[n].alias(n) for n in (*_TEXTS, *_SETS))).alias("e"))
 
 
 def _empty() -> Column:
     none = F.array().cast("array<string>")
-    return F.struct(
-        *(F.lit("").alias(n) for n in ("name", "addr", "country", "root")), *(none.alias(n) for n in ("name_words", "name_grams", "addr_words", "addr_grams", "nums"))
-    )
+    return F.struct(*(F.lit("").alias(n) for n in _TEXTS), *(none.alias(n) for n in _SETS))
 
 
 def attach(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """``pairs(s1_id, cand_id)`` with prepared entities ``a`` and ``b``; an unknown id is an entity without any value."""
+    """``pairs(s1_id, cand_id)`` with prepared entities ``a`` and ``b``; an unknown id is an entity without any value.
+
+    The features of a pair cost far more than its bytes tell: the last shuffle has as many partitions as the session asks for,
+    which the number being given keeps from being put together by size.
+    """
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = pairs.join(left.select(F.col("entity_id").alias("s1_id"), F.col("e").alias("a")), "s1_id", "left")
+    if not pairs.isStreaming:
+        x = x.repartition(n, "cand_id")
     x = x.join(right.select(F.col("entity_id").alias("cand_id"), F.col("e").alias("b")), "cand_id", "left")
     return x.withColumn("a", F.coalesce("a", _empty())).withColumn("b", F.coalesce("b", _empty()))
 
@@ -65,19 +76,19 @@ def columns() -> dict[str, Column]:
     values = (
         where(name, S.edit(a["name"], b["name"])),
         where(name, S.edit(a["root"], b["root"])),
-        where(name, S.token_sort(a["name"], b["name"])),
-        where(name, S.token_set(a["name"], b["name"])),
+        where(name, S.guarded(a["name"], b["name"], S.edit(a["name_sorted"], b["name_sorted"]))),
+        where(name, S.guarded(a["name"], b["name"], S.sorted_sets(a["name_words"], b["name_words"]))),
         where(name, S.jaccard(a["name_words"], b["name_words"])),
         where(name, S.jaccard(a["name_grams"], b["name_grams"])),
         where(name, _flag(a["name"] == b["name"])),
         where(name, (long - short) / long, 1.0),
         where(addr, S.edit(a["addr"], b["addr"])),
-        where(addr, S.token_sort(a["addr"], b["addr"])),
-        where(addr, S.token_set(a["addr"], b["addr"])),
+        where(addr, S.guarded(a["addr"], b["addr"], S.edit(a["addr_sorted"], b["addr_sorted"]))),
+        where(addr, S.guarded(a["addr"], b["addr"], S.sorted_sets(a["addr_words"], b["addr_words"]))),
         where(addr, S.jaccard(a["addr_words"], b["addr_words"])),
         where(addr, S.jaccard(a["addr_grams"], b["addr_grams"])),
         where(addr, _flag(a["addr"] == b["addr"])),
-        numeric(_flag(F.sort_array(a["nums"]) == F.sort_array(b["nums"]))),
+        numeric(_flag(a["nums"] == b["nums"])),
         numeric(S.jaccard(a["nums"], b["nums"])),
         numeric(_flag(F.arrays_overlap(a["nums"], b["nums"]))),
         where(country, _flag(a["country"] == b["country"]), 0.5),

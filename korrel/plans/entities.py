@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import blocking, features
+from ..sources.scratch import kept
 
 #: Hand-made rows: designators, states, suffixes, null words, accents, digit runs.
 BUSINESS = (
@@ -37,11 +38,14 @@ def business(spark: SparkSession) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A third of the documents as each source: words 1-5 are the name, 6-14 the address, the language is the country."""
+    """A third of the documents as each source: words 1-5 are the name, 6-14 the address, the language is the country.
+
+    The entities are written once and read from there, so that a query with many branches reads the texts once.
+    """
     source = F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"))
-    words = F.split(T.clean(F.col("text")), " ")
+    words = T.first_words(F.col("text"), 30)
     rows = table(spark, sf_dir, "documents").select("doc_id", "lang", source.alias("source"), words.alias("w"))
-    return rows.select(
+    rows = rows.select(
         "source",
         F.concat("source", F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"),
         F.array_join(F.slice("w", 1, 5), " ").alias("business_name"),
@@ -50,6 +54,7 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.size("w") >= 30, F.array_join(F.slice("w", 15, 16), " ")).alias("same"),
         F.col("doc_id").alias("ord"),
     )
+    return kept(rows, "entities")
 
 
 def s1(ents: DataFrame) -> DataFrame:
@@ -68,8 +73,8 @@ def truth(ents: DataFrame) -> DataFrame:
 
 
 def scored(ents: DataFrame, max_freq: int = 25) -> DataFrame:
-    """(s1_id, cand_id, prob) of blocking candidates, with a fixed score of three set similarities."""
+    """(s1_id, cand_id, prob) of blocking candidates, with a fixed score of three set similarities; written once."""
     pairs = blocking.candidates(ents, max_freq)
     names = ("name_jaccard_word", "addr_jaccard_word", "name_jaccard_char_3gram")
     f = features.pair_features(pairs, s1(ents), targets(ents), names)
-    return f.select("s1_id", "cand_id", (0.4 * F.col(names[0]) + 0.4 * F.col(names[1]) + 0.2 * F.col(names[2])).alias("prob"))
+    return kept(f.select("s1_id", "cand_id", (0.4 * F.col(names[0]) + 0.4 * F.col(names[1]) + 0.2 * F.col(names[2])).alias("prob")), "scored")

@@ -52,10 +52,12 @@ def root(c: str) -> str:
 
 
 def address(x: str) -> str:
-    out = clean(x)
+    # each word between two spaces of its own, so that neighbours are found too
+    out = f"(' ' || replace({clean(x)}, ' ', '  ') || ' ')"
     for state, code in D.STATES.items():
         if state.count(" ") == 1:
-            out = rf"regexp_replace({out}, '\b{state}\b', '{code}', 'g')"
+            out = f"replace({out}, ' {state.replace(' ', '  ')} ', ' {code} ')"
+    out = rf"trim(regexp_replace({out}, '\s+', ' ', 'g'))"
     return _mapped(out, {**D.ADDRESS_WORDS, **{s: c for s, c in D.STATES.items() if " " not in s}})
 
 
@@ -88,8 +90,16 @@ def block_address(x: str) -> str:
     return _mapped(_spaced(f"lower(coalesce({_given(x)}, ''))"), D.BLOCK_ADDRESS)
 
 
+#: Letters of the tables beyond ASCII, and capitals, which cleaned texts lack, in their place: this distance counts bytes.
+BEYOND, CAPITALS = "ßäçèéêíñóöü", "ABCDEFGHIJK"
+
+
+def _distance(a: str, b: str) -> str:
+    return f"levenshtein(translate({a}, '{BEYOND}', '{CAPITALS}'), translate({b}, '{BEYOND}', '{CAPITALS}'))"
+
+
 def edit(a: str, b: str) -> str:
-    return f"(CASE WHEN {a} = {b} THEN CAST(1 AS DOUBLE) WHEN {a} = '' OR {b} = '' THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) - CAST(levenshtein({a}, {b}) AS DOUBLE) / CAST(greatest(length({a}), length({b})) AS DOUBLE) END)"
+    return f"(CASE WHEN {a} = {b} THEN CAST(1 AS DOUBLE) WHEN {a} = '' OR {b} = '' THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) - CAST({_distance(a, b)} AS DOUBLE) / CAST(greatest(length({a}), length({b})) AS DOUBLE) END)"
 
 
 def _guarded(a: str, b: str, v: str) -> str:
@@ -149,8 +159,7 @@ def _blocked(k: int = 25, field: str = "") -> str:
     return f"{ENT}, {TRUTH}, {TOK}, {FREQ}, {_pairs(k, field)}"
 
 
-ASCII_ENT = ENT.replace("cleaned AS", "cleaned0 AS").replace("FROM cleaned)", "FROM cleaned0)").replace("ent AS (", "ent0 AS (") + r", ent AS (SELECT * FROM ent0 WHERE regexp_full_match(business_name || business_address, '[\x00-\x7F]*'))"
-PAIRED = f"""{ASCII_ENT}, {TOK}, {FREQ}, {_pairs(25)}, xy AS (
+PAIRED = f"""{ENT}, {TOK}, {FREQ}, {_pairs(25)}, xy AS (
   SELECT s1_id, cand_id, a.business_name AS x, b.business_name AS y FROM pairs JOIN ent a ON a.entity_id = s1_id JOIN ent b ON b.entity_id = cand_id)"""
 
 
@@ -198,7 +207,7 @@ def _features() -> dict[str, str]:
 def _feature_query(first: int, last: int) -> str:
     targets = ("S2-1", "S3-1", "S2-2", "S2-3", "S3-3", "S2-5", "S2-6", "S3-6", "S2-999")
     columns = ", ".join(f"{v} AS {k}" for k, v in list(_features().items())[first:last])
-    return f"""WITH {BUSINESS_CTE}, {ASCII_ENT}, {TOK}, {FREQ}, {_pairs(25)}, every AS (
+    return f"""WITH {BUSINESS_CTE}, {ENT}, {TOK}, {FREQ}, {_pairs(25)}, every AS (
       SELECT 'd' AS kind, s1_id, cand_id FROM pairs UNION ALL SELECT 'b', entity_id, unnest([{', '.join(map(_text, targets))}]) FROM business WHERE starts_with(entity_id, 'S1-')
     ), raw AS (
       SELECT 'd' AS kind, entity_id, business_name, business_address, country FROM ent UNION ALL SELECT 'b', * FROM business
