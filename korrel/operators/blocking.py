@@ -61,11 +61,11 @@ def candidates(entities: DataFrame, max_freq: int = 25, fields: tuple[str, ...]
     return sides.filter((F.size("a") > 0) & (F.size("b") > 0)).select(F.explode(pairs).alias("p")).select("p.s1_id", "p.cand_id").distinct()
 
 
-def grouped(s1: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row for each S1 row, candidates sorted and comma-joined, empty if it has none."""
+def grouped(s1: DataFrame, pairs: DataFrame, *also: str) -> DataFrame:
+    """One row for each S1 row, candidates sorted and comma-joined, empty if it has none; with the columns ``also`` of S1."""
     lists = pairs.groupBy("s1_id").agg(F.array_join(F.sort_array(F.collect_set("cand_id")), ",").alias("candidate_entity_ids"))
-    joined = s1.select(F.col("entity_id").alias("source1_entity_id")).join(lists, F.col("source1_entity_id") == F.col("s1_id"), "left")
-    return joined.select("source1_entity_id", F.coalesce("candidate_entity_ids", F.lit("")).alias("candidate_entity_ids"))
+    joined = s1.select(F.col("entity_id").alias("source1_entity_id"), *also).join(lists, F.col("source1_entity_id") == F.col("s1_id"), "left")
+    return joined.select(*also, "source1_entity_id", F.coalesce("candidate_entity_ids", F.lit("")).alias("candidate_entity_ids"))
 
 
 def country_stats(s1: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -89,6 +89,34 @@ def first_token(s1: DataFrame, targets: DataFrame, bucket: int = 10, limit: int
     return hit.select("s1_id", "token").join(held.select("token", "cand_id"), "token").select("s1_id", "cand_id")
 
 
+def mock_candidates(s1: DataFrame, s2: DataFrame | None, s3: DataFrame, limit: int = 5000, bucket: int = 10, most: tuple[int, int] = (100_000, 150_000)) -> DataFrame:
+    """A grouped candidate table by first tokens: every row of ``s1`` in the order of ``ord``, blank ids aside.
+
+    Targets are the first ``most[1]`` entities of S3, then the first ``most[0]`` of S2, in file order; a token keeps its first ``bucket``
+    of them. An id in both tables keeps its place in S3 and has the name that S2 gives. The first ``limit`` rows of S1 with a hit get
+    candidates, the others none. Columns: ord, source1_entity_id, candidate_entity_ids.
+    """
+    key = F.get(F.split(T.clean(F.col("business_name")), " "), 0)
+
+    def first(table: DataFrame, n: int, of: int) -> DataFrame:
+        return table.orderBy("ord", "entity_id").limit(n).select("entity_id", F.struct(F.lit(of).alias("of"), F.col("ord").alias("ord")).alias("place"), key.alias("token"), F.lit(of).alias("of"))
+
+    held = first(s3, most[1], 0)
+    if s2 is not None:
+        held = held.unionByName(first(s2, most[0], 1))
+    held = held.groupBy("entity_id").agg(F.min("place").alias("place"), F.max_by("token", "of").alias("token")).filter("token <> ''")
+    held = held.withColumn("nth", F.row_number().over(W.partitionBy("token").orderBy("place", "entity_id"))).filter(F.col("nth") <= bucket)
+    lists = held.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("nth", "entity_id"))).alias("ids"))
+    lists = lists.select("token", F.array_join(F.transform("ids", lambda x: x["entity_id"]), ",").alias("ids"))
+    asking = s1.select("ord", F.trim("entity_id").alias("s1_id"), key.alias("token")).filter("s1_id <> ''")
+    hits = asking.join(lists.select("token"), "token", "left_semi").orderBy("ord", "s1_id").limit(limit)
+    # the limit's last row is the border: what stands before it and has a hit gets candidates
+    last = hits.agg(F.max(F.struct("ord", "s1_id")).alias("last"))
+    rows = asking.join(lists, "token", "left").join(F.broadcast(last))  # a single row
+    given = F.struct("ord", "s1_id") <= F.col("last")
+    return rows.select("ord", F.col("s1_id").alias("source1_entity_id"), F.when(given & F.col("ids").isNotNull(), F.col("ids")).otherwise("").alias("candidate_entity_ids"))
+
+
 def recall(truth: DataFrame, pairs: DataFrame) -> DataFrame:
     """Recall ceiling of candidate pairs, as one row. ``truth(s1_id, target_id)``; recall is 1 without true links."""
     found = truth.join(pairs, (truth.s1_id == pairs.s1_id) & (truth.target_id == pairs.cand_id), "left_semi").agg(F.count("*").alias("found_links"))

@@ -7,8 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.scratch import kept
 
 NEGATIVES, HARD, BUCKET, VALIDATION = 1.5, 0.7, 25, 0.2
+#: Targets that hard negatives are looked for among, at most.
+SAMPLE = 150_000
 
 
 def shuffled(*ids: str, seed: str = "") -> Column:
@@ -29,8 +32,9 @@ def positives(truth: DataFrame, s1: DataFrame, targets: DataFrame, cap: int) ->
     return held.orderBy(shuffled("s1_id", "cand_id"), "s1_id", "cand_id").limit(cap).select("s1_id", "cand_id")
 
 
-def hard_negatives(s1: DataFrame, targets: DataFrame, truth: DataFrame, quota: int, bucket: int = BUCKET) -> DataFrame:
-    """Untrue pairs that share the first token of the cleaned name; a token keeps ``bucket`` targets."""
+def hard_negatives(s1: DataFrame, targets: DataFrame, truth: DataFrame, quota: int, bucket: int = BUCKET, sample: int = SAMPLE) -> DataFrame:
+    """Untrue pairs that share the first token of the cleaned name, among ``sample`` targets; a token keeps ``bucket`` of them."""
+    targets = targets.orderBy(shuffled("entity_id", seed="sample"), "entity_id").limit(sample)
     key = F.get(F.split(T.clean(F.col("business_name")), " "), 0)
     held = targets.select(F.col("entity_id").alias("cand_id"), key.alias("token")).filter("token <> ''")
     held = held.withColumn("nth", F.row_number().over(W.partitionBy("token").orderBy(shuffled("cand_id"), "cand_id"))).filter(F.col("nth") <= bucket)
@@ -40,33 +44,52 @@ def hard_negatives(s1: DataFrame, targets: DataFrame, truth: DataFrame, quota: i
     return pairs.orderBy(shuffled("s1_id", "cand_id", seed="hard"), "s1_id", "cand_id").limit(quota)
 
 
-def soft_negatives(s1: DataFrame, targets: DataFrame, truth: DataFrame, seen: DataFrame, quota: int, rounds: int = 2) -> DataFrame:
-    """Untrue, unseen pairs of entities and targets that a hash brings together; always ends.
+def _numbered(ids: DataFrame, name: str) -> DataFrame:
+    """Distinct ids with numbers from 0, in hash order, without one global sort: shards are numbered, then ids within them."""
+    shard = F.pmod(F.xxhash64(name), F.lit(max(1, ids.count() // 4096)))
+    ids = ids.withColumn("shard", shard)
+    sizes = ids.groupBy("shard").agg(F.count("*").alias("n"))
+    before = sizes.withColumn("before", F.sum("n").over(W.orderBy("shard")) - F.col("n")).select("shard", "before")
+    nth = F.row_number().over(W.partitionBy("shard").orderBy(shuffled(name), name))
+    return ids.withColumn("nth", nth).join(before, "shard").select(name, (F.col("before") + F.col("nth") - 1).alias(f"{name}_at"))
 
-    Both sides are numbered within hash shards of some thousand ids, and an entity meets the target with its own number in its
-    shard, ``rounds`` times.
-    """
-    n = F.lit(max(1, min(s1.count(), targets.count()) // 4096))
 
-    def numbered(ids: DataFrame, name: str, seed: Column) -> DataFrame:
-        shard = F.pmod(F.crc32(F.concat_ws("|", seed, F.col(name)).cast("binary")), n)
-        nth = F.row_number().over(W.partitionBy("round", "shard").orderBy(F.md5(F.concat_ws("|", seed, F.col(name))), name))
-        return ids.withColumn("shard", shard).withColumn("nth", nth)
+def soft_negatives(s1: DataFrame, targets: DataFrame, truth: DataFrame, seen: DataFrame, quota: int) -> DataFrame:
+    """``quota`` untrue, unseen pairs of random entities and targets; fewer only where there are no more.
 
-    every = F.explode(F.array(*(F.lit(r) for r in range(rounds))))
-    left = numbered(s1.select(F.col("entity_id").alias("s1_id"), every.alias("round")), "s1_id", F.concat(F.lit("a"), F.col("round").cast("string")))
-    right = numbered(targets.select(F.col("entity_id").alias("cand_id"), every.alias("round")), "cand_id", F.concat(F.lit("b"), F.col("round").cast("string")))
-    pairs = left.join(right, ["round", "shard", "nth"]).select("s1_id", "cand_id").distinct()
-    pairs = pairs.join(truth.select("s1_id", F.col("target_id").alias("cand_id")), ["s1_id", "cand_id"], "left_anti").join(seen, ["s1_id", "cand_id"], "left_anti")
-    return pairs.orderBy(shuffled("s1_id", "cand_id", seed="soft"), "s1_id", "cand_id").limit(quota)
+    Pairs are drawn by numbers, twice as many in each turn as in the one before, until there are enough. Where all pairs are few,
+    all are drawn. So it always ends, and what is drawn is in proportion to the quota.
+    """
+    left = kept(_numbered(s1.select(F.col("entity_id").alias("s1_id")).distinct(), "s1_id"), "left")
+    right = kept(_numbered(targets.select(F.col("entity_id").alias("cand_id")).distinct(), "cand_id"), "right")
+    n, m = left.count(), right.count()
+    true = truth.select("s1_id", F.col("target_id").alias("cand_id")).unionByName(seen.select("s1_id", "cand_id")).distinct()
+    draws = 2 * quota + 64
+    while True:
+        every = n * m <= 2 * draws
+        i = F.col("id")
+        numbers = s1.sparkSession.range(n * m if every else draws)
+        if every:
+            numbers = numbers.select((i / max(m, 1)).cast("long").alias("s1_id_at"), F.pmod(i, F.lit(max(m, 1))).alias("cand_id_at"), i)
+        else:
+            numbers = numbers.select(F.pmod(F.xxhash64(i, F.lit("a")), F.lit(n)).alias("s1_id_at"), F.pmod(F.xxhash64(i, F.lit("b")), F.lit(m)).alias("cand_id_at"), i)
+        pairs = numbers.join(left, "s1_id_at").join(right, "cand_id_at").select("s1_id", "cand_id").distinct().join(true, ["s1_id", "cand_id"], "left_anti")
+        pairs = kept(pairs.orderBy(shuffled("s1_id", "cand_id", seed="soft"), "s1_id", "cand_id").limit(max(quota, 0)), "soft")
+        if every or pairs.count() >= quota:
+            return pairs
+        draws *= 2
 
 
 def training_pairs(truth: DataFrame, s1: DataFrame, targets: DataFrame, samples: int = 50_000) -> DataFrame:
-    """Labelled pairs (s1_id, cand_id, label): true links, and hard and soft negatives, one and a half times as many."""
-    good = positives(truth, s1, targets, samples // 2).persist()
+    """Labelled pairs (s1_id, cand_id, label): true links, and hard and soft negatives of their entities, one and a half times as many.
+
+    What the hard negatives lack of their share the soft ones fill. At most ``samples`` / 2 true links are taken.
+    """
+    good = kept(positives(truth, s1, targets, samples // 2), "good")
     quota = int(good.count() * NEGATIVES)
-    hard = hard_negatives(s1, targets, truth, int(quota * HARD)).persist()
-    soft = soft_negatives(s1, targets, truth, hard, quota - hard.count())
+    own = s1.join(good.select(F.col("s1_id").alias("entity_id")).distinct(), "entity_id", "left_semi")
+    hard = kept(hard_negatives(own, targets, truth, int(quota * HARD)), "hard")
+    soft = soft_negatives(own, targets, truth, hard, quota - hard.count())
     bad = hard.unionByName(soft).withColumn("label", F.lit(0))
     return good.withColumn("label", F.lit(1)).unionByName(bad)
 

@@ -258,7 +258,7 @@ _RESULTS = f"""lists AS (
 
 def _profile() -> str:
     return " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS rows, count(*) AS n_columns, string_agg(column_name, ',' ORDER BY column_index) AS columns FROM duckdb_columns() WHERE table_name = '{t}'" for t in ("documents", "part", "supplier")
+        f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS rows, count(*) AS n_columns, string_agg(column_name, ',' ORDER BY column_index) AS columns, string_agg(CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(data_type) END, ',' ORDER BY column_index) AS types FROM duckdb_columns() WHERE table_name = '{t}'" for t in ("documents", "part", "supplier")
     )
 
 
@@ -266,6 +266,17 @@ def sql() -> dict[str, str]:
     token = f"split_part({clean('business_name')}, ' ', 1)"
     return {
         "q_profile": _profile(),
+        "q_preview": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand FROM part ORDER BY part.p_partkey LIMIT 3",
+        "q_tsv_source": f"WITH {ENT} SELECT entity_id, nullif(business_name, '') AS business_name, nullif(business_address, '') AS business_address, nullif(country, '') AS country FROM ent",
+        "q_combined_lookup": f"""WITH {ENT}, n AS (SELECT source, 'T-' || (ord % 500) AS entity_id, min(business_name) AS name FROM ent WHERE source <> 'S1' GROUP BY ALL)
+          SELECT entity_id, arg_min(name, source) AS in_training, arg_max(name, source) AS in_prediction FROM n GROUP BY 1""",
+        "q_block_mock": f"""WITH {ENT}, k AS (SELECT *, {token} AS token FROM ent), t AS (
+            SELECT entity_id, token, 1 AS of, ord FROM k WHERE source = 'S3' QUALIFY row_number() OVER (ORDER BY ord, entity_id) <= 150000
+            UNION ALL SELECT entity_id, token, 2, ord FROM k WHERE source = 'S2' QUALIFY row_number() OVER (ORDER BY ord, entity_id) <= 100000
+          ), held AS (SELECT * FROM t WHERE token <> '' QUALIFY row_number() OVER (PARTITION BY token ORDER BY of, ord, entity_id) <= 10
+          ), l AS (SELECT token, string_agg(entity_id, ',' ORDER BY of, ord, entity_id) AS ids FROM held GROUP BY 1
+          ), a AS (SELECT entity_id, ids, sum(CASE WHEN ids IS NULL THEN 0 ELSE 1 END) OVER (ORDER BY ord, entity_id) AS nth FROM k LEFT JOIN l USING (token) WHERE source = 'S1')
+          SELECT entity_id AS source1_entity_id, CASE WHEN ids IS NOT NULL AND nth <= 5000 THEN ids ELSE '' END AS candidate_entity_ids FROM a""",
         "q_load_source": "SELECT 'S1-' || (doc_id % 300) AS entity_id, arg_max(trim(source), doc_id) AS business_name, CAST(NULL AS VARCHAR) AS business_address, arg_max(trim(lang), doc_id) AS country FROM documents GROUP BY 1",
         "q_union_targets": f"WITH {ENT} SELECT entity_id, source, business_name, country FROM ent WHERE source <> 'S1'",
         "q_truth_long": f"WITH {ENT}, {TRUTH} SELECT DISTINCT s1_id, target_id FROM truth",
@@ -306,8 +317,10 @@ def sql() -> dict[str, str]:
         "q_features_all": _feature_query(0, 21),
         "q_label_pairs": f"WITH {_blocked()} SELECT p.s1_id, p.cand_id, CASE WHEN t.s1_id IS NULL THEN 0 ELSE 1 END AS label FROM pairs p LEFT JOIN (SELECT DISTINCT * FROM truth) t ON t.s1_id = p.s1_id AND t.target_id = p.cand_id",
         "q_positives": f"WITH {ENT}, {TRUTH} SELECT s1_id, target_id AS cand_id FROM (SELECT DISTINCT * FROM truth) ORDER BY md5('|' || s1_id || '|' || target_id), 1, 2 LIMIT 1000",
-        "q_negatives": f"""WITH {ENT}, {TRUTH}, k AS (SELECT *, {token} AS token FROM ent), held AS (
-            SELECT token, entity_id AS cand_id FROM k WHERE source <> 'S1' AND token <> '' QUALIFY row_number() OVER (PARTITION BY token ORDER BY md5('|' || entity_id), entity_id) <= 25
+        "q_negatives": f"""WITH {ENT}, {TRUTH}, k AS (SELECT *, {token} AS token FROM ent), few AS (
+            SELECT * FROM k WHERE source <> 'S1' ORDER BY md5('sample|' || entity_id), entity_id LIMIT 150000
+          ), held AS (
+            SELECT token, entity_id AS cand_id FROM few WHERE token <> '' QUALIFY row_number() OVER (PARTITION BY token ORDER BY md5('|' || entity_id), entity_id) <= 25
           ), p AS (SELECT entity_id AS s1_id, cand_id FROM k JOIN held USING (token) WHERE source = 'S1')
           SELECT s1_id, cand_id FROM p WHERE NOT EXISTS (SELECT 1 FROM truth t WHERE t.s1_id = p.s1_id AND t.target_id = p.cand_id) ORDER BY md5('hard|' || s1_id || '|' || cand_id), 1, 2 LIMIT 500""",
         "q_split": f"""WITH {_blocked()}, i AS (SELECT s1_id, row_number() OVER (ORDER BY md5('split|' || s1_id), s1_id) AS nth, count(*) OVER () AS n FROM (SELECT DISTINCT s1_id FROM pairs))

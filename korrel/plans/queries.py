@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import similarity as S
 from ..functions import text as T
 from ..operators import blocking, features, metrics, models, results, training
-from ..sources import tsv
+from ..sources import scratch, tsv
+from ..sources.scratch import kept
 from . import entities as E
 
 QUERIES: dict = {}
@@ -56,6 +56,43 @@ def q_profile(spark, sf_dir):
     return out
 
 
+@query
+def q_preview(spark, sf_dir):
+    path = f"{scratch.root(spark)}/preview-{uuid.uuid4().hex}.tsv"
+    tsv.write_one(E.table(spark, sf_dir, "part").orderBy("p_partkey").select("p_partkey", "p_name", "p_brand"), path)
+    scratch.delete_at_end(spark, path)
+    return tsv.preview(tsv.lines(spark, path))
+
+
+@query
+def q_tsv_source(spark, sf_dir):
+    """Entities by way of tab-separated files, of which the last row of an id counts."""
+    path = f"{scratch.root(spark)}/source-{uuid.uuid4().hex}"
+    ents = E.entities(spark, sf_dir).select("entity_id", "business_name", "business_address", "country")
+    tsv.write(ents, path)
+    scratch.delete_at_end(spark, path)
+    return tsv.entities(tsv.lines(spark, path)).select("entity_id", "business_name", "business_address", "country")
+
+
+@query
+def q_combined_lookup(spark, sf_dir):
+    """Two sources that share ids: training reads the first one's row, prediction the second one's."""
+    ents = E.entities(spark, sf_dir)
+
+    def numbered(source):
+        return ents.filter(F.col("source") == source).groupBy(F.concat(F.lit("T-"), (F.col("ord") % 500).cast("string")).alias("entity_id")).agg(F.min("business_name").alias("business_name"))
+
+    two, three = numbered("S2"), numbered("S3")
+    training_ = tsv.combined(two, three).withColumnRenamed("business_name", "in_training")
+    return training_.join(tsv.combined(two, three, keep="second").withColumnRenamed("business_name", "in_prediction"), "entity_id")
+
+
+@query
+def q_block_mock(spark, sf_dir):
+    ents = E.entities(spark, sf_dir)
+    return blocking.mock_candidates(E.s1(ents), ents.filter("source = 'S2'"), ents.filter("source = 'S3'")).drop("ord")
+
+
 @query
 def q_load_source(spark, sf_dir):
     raw = E.table(spark, sf_dir, "documents").select(F.concat(F.lit(" S1-"), (F.col("doc_id") % 300).cast("string")).alias("entity_id"), F.concat(F.lit(" "), F.col("source")).alias("business_name"), F.col("lang").alias("country"), F.col("doc_id").alias("ord"))
@@ -353,7 +390,7 @@ def _training(spark, sf_dir):
 
 def _fitted(spark, sf_dir, kind, trees, depth):
     rows, ents = _training(spark, sf_dir)
-    rows = rows.persist()
+    rows = kept(rows, "rows")
     model = models.fit(rows.filter("not validation"), kind, trees, depth)
     return model, models.score(model, rows.filter("validation")), ents
 
@@ -378,8 +415,8 @@ def q_predict_end_to_end(spark, sf_dir):
     """Train, choose a threshold on the validation entities, save, load, score all candidates, assemble results."""
     model, validated, ents = _fitted(spark, sf_dir, "random_forest", 20, 8)
     best = metrics.best(metrics.sweep(validated)).first()
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="korrel-")
-    path = f"{shared}/model-{uuid.uuid4().hex}"
+    path = f"{scratch.root(spark)}/model-{uuid.uuid4().hex}"
+    scratch.delete_at_end(spark, path)
     models.save(model, path, best.threshold, "random_forest")
     model, side = models.load(path)
     pairs = blocking.candidates(ents, 25)

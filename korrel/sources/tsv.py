@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import scratch
+
 SEARCH = (".", "models", "output", "dataset/train", "dataset/test", "dataset")
 
 
 def resolve(name: str, search_dirs: tuple[str, ...] | list[str] = (), must_exist: bool = True) -> str:
-    """The path as it is, or its base name in the given and the usual folders."""
+    """The path as it is, or its base name in the given and the usual folders; a path of another file system as it is."""
+    if "://" in name:
+        return name
     if os.path.exists(name):
         return name
     for folder in (*search_dirs, *SEARCH):
@@ -25,9 +29,37 @@ def resolve(name: str, search_dirs: tuple[str, ...] | list[str] = (), must_exist
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """All cells as text, without quoting; blank lines skipped, short lines filled with nulls; ``ord`` follows the file."""
+    """All cells as text, without quoting; blank lines skipped, short lines filled with nulls.
+
+    ``ord`` follows the files: their paths, then the places in them.
+    """
     table = spark.read.csv(path, sep="\t", header=True, quote="", mode="PERMISSIVE", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return table.select(*(F.col(f"`{c}`").alias(c.strip().lower()) for c in table.columns), F.monotonically_increasing_id().alias("ord"))
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return table.select(*(F.col(f"`{c}`").alias(c.strip().lower()) for c in table.columns), place.alias("ord"))
+
+
+def header(spark: SparkSession, path: str) -> list[str]:
+    """The column names of a file, as they stand there: its first line alone is read. A missing path is an error."""
+    p, fs = scratch.filesystem(spark, path)
+    if not fs.exists(p):
+        raise FileNotFoundError(path)
+    return spark.read.csv(path, sep="\t", header=True, quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).columns
+
+
+def preview(table: DataFrame, n: int = 3) -> DataFrame:
+    """The first ``n`` rows, by ``ord`` where there is one, else by file and row."""
+    if "ord" in table.columns:
+        return table.orderBy("ord").limit(n).drop("ord")
+    return table.limit(n)
+
+
+def combined(first: DataFrame, second: DataFrame, key: str = "entity_id", keep: str = "first") -> DataFrame:
+    """Rows of both tables, one for each key: of a key in both, that of the table named by ``keep`` (first or second)."""
+    others = [c for c in first.columns if c != key]
+    rank = {"first": (0, 1), "second": (1, 0)}[keep]
+    both = first.withColumn("_rank", F.lit(rank[0])).unionByName(second.select(*first.columns).withColumn("_rank", F.lit(rank[1])))
+    one = both.groupBy(key).agg(F.min_by(F.struct(*others), "_rank").alias("r"))
+    return one.select(key, *(F.col(f"r.{c}") for c in others))
 
 
 def last_rows(table: DataFrame, key: str) -> DataFrame:
@@ -100,16 +132,51 @@ def queried(table: DataFrame) -> DataFrame:
 
 
 def profile(table: DataFrame, name: str) -> DataFrame:
-    """Rows and columns of a table, as one row."""
-    return table.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows"), F.lit(len(table.columns)).cast("long").alias("n_columns"), F.lit(",".join(table.columns)).alias("columns"))
+    """Rows, columns and their types (of text files as inferred, where the table was read so) of a table, as one row."""
+    columns = [f for f in table.schema.fields if f.name != "ord"]
+    return table.agg(
+        F.lit(name).alias("table_name"),
+        F.count("*").alias("rows"),
+        F.lit(len(columns)).cast("long").alias("n_columns"),
+        F.lit(",".join(f.name for f in columns)).alias("columns"),
+        F.lit(",".join(f.dataType.simpleString() for f in columns)).alias("types"),
+    )
+
 
+def inferred(spark: SparkSession, path: str) -> DataFrame:
+    """A file with the types that its cells fit, as a look at the data needs them."""
+    return spark.read.csv(path, sep="\t", header=True, inferSchema=True)
 
-def write(table: DataFrame, path: str, one_file: bool = False) -> None:
-    """Tab-separated text with a header. Only ``one_file`` brings all rows together, for readers that ask for it."""
-    out = table.coalesce(1) if one_file else table
-    out.write.csv(path, sep="\t", header=True, quote="", escapeQuotes=False, emptyValue="", mode="overwrite")
 
+def write(table: DataFrame, path: str) -> None:
+    """Tab-separated text with a header, a file for each partition."""
+    table.write.csv(path, sep="\t", header=True, quote="", escapeQuotes=False, emptyValue="", mode="overwrite")
 
-def numbered(table: DataFrame, by: str) -> DataFrame:
-    """``table`` with ``ord`` in the order of a column: for sources that have no file order."""
-    return table.withColumn("ord", F.row_number().over(W.orderBy(by)))
+
+def write_one(table: DataFrame, path: str) -> str:
+    """One tab-separated file with a header and newline ends, rows in the order of ``table``; folders are made.
+
+    Rows are written as parts by the executors; the driver then joins the parts' bytes, a buffer at a time, so no task and no
+    memory ever holds the whole table.
+    """
+    spark = table.sparkSession
+    where = f"{scratch.root(spark)}/parts-{uuid.uuid4().hex}"
+    cells = F.concat_ws("\t", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in table.columns))
+    table.select(cells.alias("value")).write.text(where, lineSep="\n")
+    target, fs = scratch.filesystem(spark, path if "://" in path else "file://" + os.path.abspath(path))
+    folder, parts = scratch.filesystem(spark, where)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs.mkdirs(target.getParent())
+    raw = fs.getRawFileSystem() if hasattr(fs, "getRawFileSystem") and target.toUri().getScheme() == "file" else fs  # no checksum file beside it
+    out = raw.create(target, True)
+    try:
+        out.write(bytearray(("\t".join(table.columns) + "\n").encode()))
+        names = sorted(st.getPath().getName() for st in parts.listStatus(folder) if st.getPath().getName().startswith("part-"))
+        for name in names:
+            part = parts.open(jvm.org.apache.hadoop.fs.Path(folder, name))
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+            part.close()
+    finally:
+        out.close()
+        parts.delete(folder, True)
+    return path
