@@ -1,24 +1,28 @@
 """License scans by a positional index of rare words, in DataFrame operations only.
 
 ``TEMPLATES`` are short wordings of public licences and notices, each with a key phrase that must stand in a file word by word.
-The words of all templates are counted over the whole corpus; of each template's key phrase the words of highest inverse
-document frequency form the index, with their positions in the wording. A file's words are looked up in it: every hit names a template and the place where it
-would begin. Postings of one template at one place are then intersected by relative position: all template words that stand
-where they should, weighted by their rarity, give the match's share; the key phrase must be there whole. A phrase of ``BASE``
-is a template that is its own key phrase, so each of its places is found through its rarest word.
+The words of all templates are counted over the whole corpus, by documents. Each template is indexed under the word of its key
+phrase with the highest inverse document frequency, whatever that word is, with its position in the wording: the key phrase is
+mandatory, so every place of a match is found through it. A file's words are looked up in the index; a hit names a template and
+the place where it would begin. There the postings of all words of the wording are intersected by relative position: the words
+that stand where they should, weighted by their rarity, give the match's share, and the key phrase must be there whole. A phrase
+of ``BASE`` is a template that is its own key phrase.
+
+Texts are read twice, once for the counts and once for the places; nothing is shuffled but the counts of the templates' words.
 
 Cases: a null text is the empty one: no words, no labels, score 0. Texts are read whole; repeated rows and null ids are rows of
-their own. Phrases are found across any separators, line ends too. Extra columns are not read.
+their own; an empty table gives an empty one. Phrases are found across any separators, line ends too; a wording may begin before
+its file does. Extra columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch
-
 #: Phrases whose places are counted, and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: (label, wording, key phrase). Words as the scan splits them.
@@ -41,28 +45,25 @@ TEMPLATES = (
     ("cc0", "released under cc0 1 0 universal public domain dedication", "cc0 1 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "released into the public domain"),
 )
-#: Words of the templates that ordinary text is full of: they count where a rarer word stands near, and open no search.
-COMMON = frozenset("a all and any are by following free in into is of or that the this to use with without work copy files person source version".split())
-#: Index words of each key phrase, and the least share of a wording that makes a match.
-RARE, SHARE = 2, 0.5
+#: The least share of a wording that makes a match.
+SHARE = 0.5
 
 
-def _postings() -> list[tuple[int, str, str, int, str, bool, int]]:
-    """(template, label, kind, position, word, in the key phrase, words of the template)."""
-    out = []
-    wordings = [(label, text, text, "base") for text, label in BASE.items()] + [(*t, "own") for t in TEMPLATES]
-    for k, (label, text, key, kind) in enumerate(wordings):
-        words, must = text.split(), key.split()
-        at = next(i for i in range(len(words)) if words[i : i + len(must)] == must)
-        out += [(k, label, kind, i, w, at <= i < at + len(must), len(words)) for i, w in enumerate(words)]
-    return out
+@dataclass(frozen=True)
+class Template:
+    label: str
+    base: bool
+    words: tuple[str, ...]
+    key_at: int
+    key: tuple[str, ...]
 
 
-def _table(one: DataFrame) -> DataFrame:
-    """The postings as rows: a constant that does not grow with the data."""
-    names = ("template", "label", "kind", "at", "word", "must", "length")
-    rows = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, p, strict=True))) for p in _postings()))
-    return one.select(F.explode(rows).alias("p")).select("p.*")
+def templates() -> list[Template]:
+    out = []
+    for label, wording, key, base in [(label, text, text, True) for text, label in BASE.items()] + [(*t, False) for t in TEMPLATES]:
+        words, must = tuple(wording.split()), tuple(key.split())
+        out.append(Template(label, base, words, next(i for i in range(len(words)) if words[i : i + len(must)] == must), must))
+    return out
 
 
 def words_of(text: Column) -> Column:
@@ -70,49 +71,70 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
-def scan(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def rarity(docs: DataFrame, text: str = "text") -> dict[str, float]:
+    """The inverse document frequency of every word of the templates, over all of ``docs``."""
+    vocabulary = sorted({w for t in templates() for w in t.words})
+    own = F.array_intersect(words_of(F.col(text)), F.array(*map(F.lit, vocabulary)))
+    # the empty word, which no text has, stands for the document itself
+    counts = docs.select(F.explode(F.concat(own, F.array(F.lit("")))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    files = {r.word: r.n for r in counts.collect()}  # a row for each word of the templates
+    return {w: math.log((files.get("", 0) + 1) / (files.get(w, 0) + 0.5)) for w in vocabulary}
+
+
+def indexed(idf: dict[str, float]) -> list[int]:
+    """For each template the position of its index word: the rarest one of the key phrase, of equals the first."""
+    return [max(range(t.key_at, t.key_at + len(t.key)), key=lambda i, t=t: (idf[t.words[i]], -i)) for t in templates()]
+
+
+def _literals(values) -> Column:
+    return F.array(*map(F.lit, values))
+
+
+def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, base phrases and labels of each row of ``docs(doc_id, text)``."""
-    postings = _postings()
-    vocabulary = sorted({p[4] for p in postings})
-    strong = [w for w in vocabulary if w not in COMMON]
-    reach = max(p[6] for p in postings)
-    words = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    n = F.size("words")
-    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    searched = words.select("doc_id", "words", F.filter(every, lambda i: F.get("words", i).isin(strong)).alias("strong"))
-    near = F.flatten(F.transform("strong", lambda p: F.sequence(F.greatest(p - reach, F.lit(0)), F.least(p + reach, n - 1))))
-    hits = F.transform(F.filter(F.array_distinct(near), lambda i: F.get("words", i).isin(vocabulary)), lambda i: F.struct(i.alias("pos"), F.get("words", i).alias("word")))
-    own = F.array_intersect("words", F.array(*map(F.lit, vocabulary)))
-    files = scratch.keep(searched.select(F.monotonically_increasing_id().alias("file"), "doc_id", n.cast("long").alias("n_words"), own.alias("own"), hits.alias("hits")), "files")
-
-    one = docs.sparkSession.range(1)
-    table = _table(one)
-    counts = files.select(F.explode("own").alias("word")).groupBy("word").agg(F.count("*").alias("files"))
-    total = files.agg(F.count("*").alias("total"))
-    idf = table.select("word").distinct().join(counts, "word", "left").join(F.broadcast(total), how="cross")
-    idf = idf.select("word", F.log((F.col("total") + 1) / (F.coalesce("files", F.lit(0)) + 0.5)).alias("idf"))
-    table = scratch.keep(table.join(idf, "word").withColumn("open", ~F.col("word").isin(sorted(COMMON))), "postings")
-    order = W.partitionBy("template").orderBy(F.desc("open"), F.desc("idf"), "at")
-    # the key phrase must be whole, so each place of a match is found through any of its words
-    index = table.filter("must").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= RARE).filter("open").select("word", "template", "at")
-
-    at = files.filter(F.size("hits") > 0).select("file", F.explode("hits").alias("h")).select("file", "h.pos", "h.word")
-    begins = at.join(F.broadcast(index), "word").select("file", "template", (F.col("pos") - F.col("at")).alias("begin")).distinct()
-    should = begins.join(F.broadcast(table), "template").select("file", "template", "label", "kind", "begin", "must", "length", "idf", "word", (F.col("begin") + F.col("at")).alias("pos"))
-    held = should.join(at.withColumn("there", F.lit(1)), ["file", "pos", "word"], "left")
-    there = F.coalesce("there", F.lit(0))
-    placed = held.groupBy("file", "template", "label", "kind", "begin", "length").agg(
-        F.sum(there * F.col("idf")).alias("got"), F.sum("idf").alias("whole"), F.min(F.when(F.col("must"), there).otherwise(1)).alias("key")
-    )
-    placed = placed.filter("key = 1").withColumn("share", F.least(F.lit(1.0), F.coalesce(F.try_divide("got", "whole"), F.lit(1.0)))).filter(F.col("share") >= SHARE)
-    base = F.col("kind") == "base"
-    found = placed.groupBy("file").agg(
-        F.count_if(base).alias("n_base"),
-        F.min(F.when(base, F.col("begin"))).cast("long").alias("first_word"),
-        F.max(F.when(base, F.col("begin"))).cast("long").alias("last_word"),
-        F.array_join(F.sort_array(F.collect_set(F.when(base, F.col("label")))), ",").alias("base_labels"),
-        F.array_join(F.sort_array(F.collect_set("label")), ",").alias("labels"),
-        F.max("share").alias("score"),
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    idf, every = rarity(docs), templates()
+    postings: dict[str, list[tuple[int, int]]] = {}
+    for k, at in enumerate(indexed(idf)):
+        postings.setdefault(every[k].words[at], []).append((k, at))
+    index = F.create_map(*(x for w, own in postings.items() for x in (F.lit(w), F.array(*(F.struct(F.lit(k).alias("t"), F.lit(at).alias("at")) for k, at in own)))))
+    table = F.array(*(
+        F.struct(
+            F.lit(t.label).alias("label"), F.lit(t.base).alias("base"), _literals(t.words).alias("words"), F.lit(t.key_at).alias("key_at"), _literals(t.key).alias("key"),
+            _literals([idf[w] for w in t.words]).alias("idf"), F.lit(sum(idf[w] for w in t.words)).alias("whole"),
+        )
+        for t in every
+    ))
+
+    words = F.col("words")
+    places = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*postings), F.struct(w.alias("word"), i.alias("pos")))), lambda p: p.isNotNull())
+    begins = F.flatten(F.transform(places, lambda p: F.transform(index[p["word"]], lambda x: F.struct(F.get(table, x["t"]).alias("t"), (p["pos"] - x["at"]).alias("begin")))))
+
+    def whole(b: Column) -> Column:
+        """Whether the key phrase stands where it should."""
+        first = b["begin"] + b["t"]["key_at"]
+        return (first >= 0) & (F.slice(words, F.greatest(first + 1, F.lit(1)), F.size(b["t"]["key"])) == b["t"]["key"])
+
+    def share(b: Column) -> Column:
+        there = F.transform(b["t"]["words"], lambda w, i: F.when(F.get(words, b["begin"] + i) == w, F.get(b["t"]["idf"], i)).otherwise(0.0))
+        return F.least(F.lit(1.0), F.aggregate(there, F.lit(0.0), lambda n, x: n + x) / b["t"]["whole"])
+
+    found = F.transform(F.filter("begins", whole), lambda b: F.struct(b["t"]["label"].alias("label"), b["t"]["base"].alias("base"), b["begin"].alias("begin"), share(b).alias("share")))
+    rows = docs.select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", "words", begins.alias("begins"))
+    rows = rows.select("doc_id", F.size("words").cast("long").alias("n_words"), F.filter(found, lambda m: m["share"] >= SHARE).alias("found"))
+    rows = rows.select("doc_id", "n_words", "found", F.filter("found", lambda m: m["base"]).alias("placed"))
+
+    def names(column: str) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(column, lambda m: m["label"]))), ",")
+
+    starts = F.transform("placed", lambda m: m["begin"].cast("long"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        F.size("placed").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        names("placed").alias("base_labels"),
+        names("found").alias("labels"),
+        F.round(F.coalesce(F.array_max(F.transform("found", lambda m: m["share"])), F.lit(0.0)), 6).alias("score"),
     )
-    out = files.select("file", "doc_id", "n_words").join(found, "file", "left")
-    return out.select("doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word", F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"))

@@ -64,7 +64,7 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(read(spark, sf_dir, "documents"), Scratch(spark, "op9"))
+    return licenses.scan(read(spark, sf_dir, "documents"))
 
 
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,5 +174,40 @@ FROM c
 """
 
 
+def _op9_sql() -> str:
+    def text(x: str) -> str:
+        return "'" + x + "'"
+
+    rows = ", ".join(f"({k}, {text(t.label)}, {str(t.base).lower()}, {i}, {text(w)}, {str(t.key_at <= i < t.key_at + len(t.key)).lower()})" for k, t in enumerate(licenses.templates()) for i, w in enumerate(t.words))
+    return f"""
+WITH p(t, label, base, place, word, must) AS (VALUES {rows}
+), d AS (
+  SELECT row_number() OVER () AS f, doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents
+), w AS (
+  SELECT f, unnest(range(len(ws))) AS pos, unnest(ws) AS word FROM d
+), v AS (
+  SELECT f, pos, word FROM w WHERE word IN (SELECT word FROM p)
+), c AS (
+  SELECT word, count(DISTINCT f) AS n FROM v GROUP BY 1
+), i AS (
+  SELECT p.*, ln(CAST((SELECT count(*) FROM d) + 1 AS DOUBLE) / (coalesce(c.n, 0) + CAST(0.5 AS DOUBLE))) AS idf FROM p LEFT JOIN c USING (word)
+), b AS (
+  SELECT f, t, pos - place AS start FROM v JOIN (SELECT t, min(place) AS place, arg_min(word, place) AS word FROM p WHERE must GROUP BY 1) k USING (word)
+), m AS (
+  SELECT b.f, b.t, b.start, min(i.label) AS label, bool_or(i.base) AS base, sum(CASE WHEN v.f IS NULL THEN 0 ELSE i.idf END) / sum(i.idf) AS share,
+    bool_and(v.f IS NOT NULL OR NOT i.must) AS whole
+  FROM b JOIN i ON i.t = b.t LEFT JOIN v ON v.f = b.f AND v.pos = b.start + i.place AND v.word = i.word GROUP BY 1, 2, 3
+), g AS (
+  SELECT f, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word, max(start) FILTER (WHERE base) AS last_word,
+    array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE base))), ',') AS base_labels, array_to_string(list_sort(list_distinct(list(label))), ',') AS labels,
+    round(least(max(share), CAST(1 AS DOUBLE)), 6) AS score
+  FROM m WHERE whole AND share >= {licenses.SHARE} GROUP BY f
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, CAST(0 AS DOUBLE)) AS score
+FROM d LEFT JOIN g USING (f)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_topk": OP5_SQL, "op7_mix": OP7_SQL, "op4_repeats": OP4_SQL, "op10_neardup": OP10_SQL}
+    return {"op9_licenses": _op9_sql(), "op5_topk": OP5_SQL, "op7_mix": OP7_SQL, "op4_repeats": OP4_SQL, "op10_neardup": OP10_SQL}
