@@ -82,9 +82,10 @@ def with_digits(df: DataFrame, text: str, digits: str) -> DataFrame:
     def fill(b: Column) -> Column:
         quick = F.get(F.filter(F.get(_literal(_probes()), b), used), F.lit(0))
         # the bin in use with the least hash of (this bin, that bin): the first one in a random order of all bins
-        rest = F.array_min(F.transform(F.filter(_literal(list(range(BINS))), used), lambda j: F.struct(F.xxhash64(b, j).alias("h"), j.alias("j"))))["j"]
+        rest = F.array_min(F.transform("_used", lambda j: F.struct(F.xxhash64(b, j).alias("h"), j.alias("j"))))["j"]
         return F.get("_first", F.coalesce(quick, rest))
 
+    df = df.select(*own, "_n", "_first", F.filter(_literal(list(range(BINS))), used).alias("_used"))
     dense = F.transform("_first", lambda h, b: F.when(h.bitwiseAND(low) != low, h).otherwise(fill(b)).bitwiseAND(F.lit((1 << BITS) - 1)).cast("byte"))
     return df.select(*own, F.when(F.col("_n") > 0, dense).otherwise(F.array().cast("array<byte>")).alias(digits))
 
