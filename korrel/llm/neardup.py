@@ -7,14 +7,14 @@ meeting at one child per level on average. Several independent trees lift the ch
 
 First each tree node links its members to its least one, which costs one pair per member. Then only sets of different components
 are of interest: tree nodes of at most ``LEAF`` members, and larger ones that are nearly of one component, are compared
-exhaustively across components; the others branch again, level by level. Candidates pass a sketch of the signatures and then a
+exhaustively across components, in blocks of ``LEAF`` members; the others branch again, level by level. Candidates pass a sketch of the signatures and then a
 finer one, with cut-offs some five standard deviations below the threshold, and are confirmed on the full sets. In the first
 rounds a tree node proposes only the pairs that would join its components, best first. In the last one every candidate counts:
 a set is held against all members of each component that it may touch, in blocks of ``BLOCK`` members, and one link of each block
 is returned. So the rows that move follow the sets, not the pairs, in however large a group of copies. Links inside a component
 that is already joined are not looked for: they cannot change the result.
 
-Cases: a null or empty text, or one without words, has the empty set and is linked with nothing. Rows with equal sets are
+Cases: an empty table gives an empty one. A null or empty text, or one without words, has the empty set and is linked with nothing. Rows with equal sets are
 linked, repeated rows and rows that repeat a doc_id too. A null doc_id takes part; it is never the smallest, and a component of
 null ids only has a null id. Extra columns are not read.
 """
@@ -36,8 +36,8 @@ from .shingles import U, mix, shingle_hashes
 SHINGLE, NUM, DEN = 5, 75, 100
 #: Signature positions, those of them that the roots of the trees choose, and the most members that are compared exhaustively.
 POSITIONS, ROOT_PATHS, LEAF, DEPTH = 128, 32, 8192, 12
-#: A larger node is compared too if that takes at most so many comparisons a member, and it has at most so many members.
-EASY, EASY_SIZE = 512, 200_000
+#: A larger node is compared too, in blocks, if that takes at most so many comparisons a member.
+EASY = 512
 #: Of POSITIONS two-bit minima, the fewest that must agree: at a similarity of 0.75 104 are expected, with a deviation of 4.4.
 SKETCH_LEAST = 82
 #: Of so many finer two-bit minima, the fewest that must agree: 832 are expected, with a deviation of 12.5.
@@ -324,13 +324,32 @@ def _labels(links: list[DataFrame], sketch: DataFrame, scratch: Scratch) -> tupl
     return label, scratch.keep(sketch.join(label, "node", "left").select("node", "sketch", "roots", F.coalesce("label", "node").alias("label")), "sketched")
 
 
-def _mixed(open_: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Members (path, node) of paths that several components meet in, and whether comparing those is easy."""
+def _mixed(open_: DataFrame, sketched: DataFrame, scratch: Scratch) -> DataFrame:
+    """Members (path, node) of paths that several components meet in: whether comparing those is easy, their number and largest label."""
     n = F.col("n").cast("double")
     by_label = open_.join(sketched.select("node", "label"), "node").groupBy("path", "label").agg(F.count("*").alias("n"))
-    paths = by_label.groupBy("path").agg(F.sum("n").alias("many"), ((F.sum(n) * F.sum(n) - F.sum(n * n)) / 2).alias("cross"), F.count("*").alias("labels")).filter("labels > 1")
-    easy = (F.col("many") <= LEAF) | ((F.col("cross") <= EASY * F.col("many")) & (F.col("many") <= EASY_SIZE))
-    return open_.join(paths.select("path", easy.alias("easy")), "path")
+    paths = by_label.groupBy("path").agg(F.sum("n").alias("many"), ((F.sum(n) * F.sum(n) - F.sum(n * n)) / 2).alias("cross"), F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("top"), F.max("n").alias("most")).filter("labels > 1")
+    easy = (F.col("many") <= LEAF) | (F.col("cross") <= EASY * F.col("many"))
+    paths = paths.select("path", "many", "top", (F.col("many") - F.col("most")).alias("others"), easy.alias("easy"))
+    return open_.join(scratch.keep(paths, "paths"), "path")
+
+
+def _cells(members: DataFrame) -> DataFrame:
+    """Members (path, pos, node, label, many, others, top) dealt to the cells that are compared, as their path.
+
+    A path of at most ``LEAF`` members is one cell. A larger one is cut into blocks of about so many. Where the components beside
+    the largest one are few, their members go to every block, so that each pair of two components meets in one at least; where they are
+    many, every two blocks make a cell. So no cell grows with the path.
+    """
+    blocks = F.ceil(F.col("many") / LEAF).cast("long")
+    own = F.pmod(F.xxhash64("node", F.lit("block")), blocks)
+    every = F.sequence(F.lit(0).cast("long"), blocks - 1)
+    beside = F.when(F.col("label") == F.col("top"), F.array(own)).otherwise(every)
+    pairs = F.transform(every, lambda x: F.least(x, own) * blocks + F.greatest(x, own))
+    cells = F.when(blocks <= 1, F.array(F.lit(0).cast("long"))).when(F.col("others") <= LEAF, beside).otherwise(pairs)
+    cell = F.explode(cells).alias("cell")
+    rest = [c for c in members.columns if c not in ("path", "many", "others", "top")]
+    return members.select(F.when(blocks <= 1, F.col("path")).alias("alone"), "path", *rest, cell).select(F.coalesce("alone", F.xxhash64("path", "cell", F.lit("cell"))).alias("path"), *rest)
 
 
 def _with_large(own: DataFrame, at: DataFrame) -> DataFrame:
@@ -355,6 +374,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, row: str | None = None) -
     # Roots: one path for each of the first positions, each tree having 1 / similarity of them.
     roots = having.select("node", F.posexplode(F.slice("sig", 1, ROOT_PATHS)).alias("pos", "value")).select("node", "pos", F.xxhash64("pos", "value").alias("path"))
     ends = roots.groupBy("path").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot <> last").select("path", "pivot")
+    ends = scratch.keep(ends, "ends")  # so that the join's stage only joins, and a path with very many members can be split
     members = scratch.keep(roots.join(ends, "path").distinct(), "members")
     sketch = having.groupBy("node").agg(F.first("sketch").alias("sketch"))
     to_pivot = members.filter("node <> pivot").select("node", "pivot").distinct()
@@ -368,14 +388,14 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, row: str | None = None) -
     links = [links]
     for turn in range(ROUNDS):
         label, sketched = _labels(links, own_sketch, scratch)
-        at = _mixed(members.select("path", "pos", "node"), sketched)
-        pairs = compared(at.filter("easy").select("path", "pos", "node").join(_with_large(sketched, at), "node"), "joins")
+        at = _mixed(members.select("path", "pos", "node"), sketched, scratch)
+        pairs = compared(_cells(at.filter("easy").drop("easy").join(_with_large(sketched, at), "node")), "joins")
         links.append(_confirmed(pairs, docs, reps, scratch, f"join{turn}"))
     label, sketched = _labels(links, own_sketch, scratch)
     open_, easy = members.select("path", "pos", "node"), None
     for depth in range(DEPTH):
-        at = scratch.keep(_mixed(open_, sketched), f"level{depth}")
-        own = at.filter("easy").select("path", "pos", "node")
+        at = scratch.keep(_mixed(open_, sketched, scratch), f"level{depth}")
+        own = at.filter("easy").drop("easy")
         easy = own if easy is None else easy.unionByName(own)
         large = at.filter("not easy")
         if depth == 0:
@@ -386,14 +406,13 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, row: str | None = None) -
         one_in = round(POSITIONS * NUM / DEN)
         chosen = F.filter(F.sequence(F.lit(0), F.lit(POSITIONS - 1)), lambda p: F.pmod(F.xxhash64("path", p), F.lit(one_in)) == 0)
         open_ = scratch.keep(large.select("path", "node").join(sig, "node").select("node", "sig", "path", F.explode(chosen).alias("at")).select(F.xxhash64("path", "at", F.col("sig")[F.col("at")]).alias("path"), F.lit(-1).alias("pos"), "node"), f"open{depth}")
-        rest = open_
     else:
-        # Sets that a dozen levels did not part are compared as they are.
-        easy = easy.unionByName(rest)
-    near = scratch.keep(compared(easy.join(sketched, "node"), "nodes").select(F.col("a").alias("node")), "near")
+        # Sets that a dozen levels did not part are compared as they are, block by block.
+        easy = easy.unionByName(_mixed(open_, sketched, scratch).drop("easy"))
+    near = scratch.keep(compared(_cells(easy.join(sketched, "node")), "nodes").select(F.col("a").alias("node")), "near")
     full = _full(near, docs, reps, scratch, "touch")
     finer = sketched.select("node", "label", "roots", "large").join(full.select("node", F.col("fine").alias("sketch")), "node")
-    touch = compared(easy.join(finer, "node"), "touches", FINE_LEAST)
+    touch = compared(_cells(easy.join(finer, "node")), "touches", FINE_LEAST)
     more = _touching(touch, finer.select("node", "label"), full, scratch)
     if not more.isEmpty():
         label, _ = _labels([*links, more], own_sketch, scratch)

@@ -125,3 +125,54 @@ def test_a_root_that_is_not_compared_hides_no_pair(spark, n):
     assert got == {b"%06d" % i for i in range(n)}
     got = {(bytes(r.a), bytes(r.b)) for r in neardup.compared(df, "touches", 128).collect()}
     assert {frozenset(p) for p in got} == {frozenset((b"%06d" % i, b"%06d" % (i + 1))) for i in range(0, n, 2)}
+
+
+@pytest.mark.parametrize(("others", "leaf"), [(5, 8), (60, 8), (0, 200), (60, 200)])
+def test_every_two_components_meet_in_a_cell(spark, monkeypatch, others, leaf):
+    monkeypatch.setattr(neardup, "LEAF", leaf)
+    nodes = [(i, b"%04d" % i, b"top" if i >= others else b"%03d" % (i // 2)) for i in range(90)]
+    df = spark.createDataFrame([(7, 0, n, x, 90, others, b"top") for _, n, x in nodes], "path long, pos int, node binary, label binary, many long, others long, top binary")
+    cells = {}
+    for r in neardup._cells(df).collect():
+        cells.setdefault(r.path, set()).add((bytes(r.node), bytes(r.label)))
+    met = {frozenset((a, b)) for c in cells.values() for a, x in c for b, y in c if x != y}
+    assert met == {frozenset((a, b)) for _, a, x in nodes for _, b, y in nodes if x != y} and {a for c in cells.values() for a, _ in c} == {n for _, n, _ in nodes}
+    if leaf < 90:
+        assert max(map(len, cells.values())) <= max(4 * leaf, others + 3 * leaf if others <= leaf else 0) and 7 not in cells
+
+
+@pytest.mark.parametrize("easy", [0, 10**9])
+def test_large_paths_in_blocks(spark, monkeypatch, easy):
+    for name, value in (("LEAF", 6), ("EASY", easy), ("BLOCK", 5), ("DEPTH", 1)):
+        monkeypatch.setattr(neardup, name, value)
+    rnd = random.Random(8)
+    vocab = [f"w{i}" for i in range(400)]
+    shared, rows = [rnd.choice(vocab) for _ in range(60)], []
+    for k in range(70):
+        base = shared + [rnd.choice(vocab) for _ in range(40)]
+        rows += [(100 * k + j, " ".join(edited(rnd, base, j))) for j in range(1 if k % 3 else 4)]
+    # what one level did not part is compared in blocks: nothing is lost
+    assert sorted(run(spark, rows), key=key) == sorted(brute(rows), key=key)
+
+
+def test_recall_where_paths_branch(spark):
+    """Default parameters: a passage of most of each text puts more sets on a path than are compared at once."""
+    rnd = random.Random(11)
+    vocab = [f"w{i}" for i in range(5000)]
+    shared, rows = [rnd.choice(vocab) for _ in range(90)], []
+    for k in range(12_500):
+        own = [rnd.choice(vocab) for _ in range(30)]
+        rows.append((2 * k, " ".join(shared + own)))
+        if k % 25 == 0:  # a pair of a similarity of 0.75 to 0.8 whose edits fall into the passage and the text's own words
+            words = shared + own
+            for at in rnd.sample(range(2, 20), 1) + rnd.sample(range(40, 50), 1) + rnd.sample(range(100, 112), 1):
+                words[at] = f"x{rnd.randrange(10**6)}"
+            rows.append((2 * k + 1, " ".join(words)))
+    sets = {d: {tuple(t.split()[i : i + 5]) for i in range(116)} for d, t in rows if d % 50 < 2}
+    true = [d for d in sets if d % 2 and len(sets[d] & sets[d - 1]) >= 0.75 * len(sets[d] | sets[d - 1])]
+    assert len(true) > 300
+    got = {d: c for d, _, c in run(spark, rows)}
+    caught = sum(got[d] == d - 1 for d in true) / len(true)
+    print(f"recall of {len(true)} pairs on branching paths: {caught:.3f}")
+    assert caught >= 0.9
+    assert all(got[d] == d - d % 2 or got[d] == d for d in got)
