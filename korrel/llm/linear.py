@@ -21,8 +21,8 @@ class Logistic:
         return 1 / (1 + np.exp(-np.clip(self.logit(x), -40, 40)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, l2: float = 1.0, weight: np.ndarray | None = None, steps: int = 60) -> Logistic:
-    """Ridge logistic regression by Newton steps on standardized columns. One class only: a constant model."""
+def fit(x: np.ndarray, y: np.ndarray, l2: float | np.ndarray = 1.0, weight: np.ndarray | None = None, steps: int = 60) -> Logistic:
+    """Ridge logistic regression by Newton steps on standardized columns; a ridge for all or for each. One class only: a constant model."""
     x, y = np.asarray(x, float), np.asarray(y, float)
     k = x.shape[1]
     w = np.ones(len(y)) if weight is None else weight
@@ -32,8 +32,7 @@ def fit(x: np.ndarray, y: np.ndarray, l2: float = 1.0, weight: np.ndarray | None
     mean, scale = x.mean(axis=0), x.std(axis=0)
     scale = np.where(scale > 1e-9, scale, 1.0)
     z = np.hstack([np.clip((x - mean) / scale, -8, 8), np.ones((len(y), 1))])
-    ridge = np.full(k + 1, l2)
-    ridge[-1] = 1e-6
+    ridge = np.append(np.broadcast_to(np.asarray(l2, float), (k,)), 1e-6)
     b = np.zeros(k + 1)
 
     def loss(b: np.ndarray) -> float:

@@ -1,7 +1,7 @@
 """Quality classifier by co-training of a text view and a metadata view.
 
-The text view describes what a text is made of (letters, symbols, capitals, repeated words and lines, word lengths); the
-metadata view describes the page: language, source, size and layout. Each has its own logistic classifier. Starting from
+The text view describes the content: which words there are (hashed), and what the text is made of (letters, symbols, capitals,
+repeated words and lines, word lengths); the metadata view describes the page: language, source, size and layout. Each has its own logistic classifier. Starting from
 labelled documents they work through rounds over a pool of unlabelled ones: each gives the documents it is surest of to the
 other as pseudo-labelled examples, good and bad in the proportion of the labels, and both are fitted anew. A fold of the
 labelled rows is kept apart to calibrate both views and to weigh them against each other; the combination scores all documents.
@@ -10,7 +10,9 @@ What is learnt from is bounded: about ``SAMPLE`` labelled rows outside the held-
 the calibration finds to know nothing gets no weight.
 
 Cases: null texts are empty ones, null languages and sources values of their own; all are scored. Without labels of both kinds
-every score is the same, the rate of the labels that there are. Repeated rows get equal scores. Extra columns stay in ``score``.
+every score is the same, the rate of the labels that there are. Repeated rows get equal scores; of rows that share a labelled id
+one is learnt from, the least by text, language and source. An empty table gives an empty one. Extra columns stay in ``score``,
+but one named like the score, which is replaced.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ from .samples import held_out, learnable, sampled
 SAMPLE, POOL = 8_000, 8_000
 #: Rounds of exchange, pseudo-labels that a view gives in one as a share of the pool, and how sure of them it must be.
 ROUNDS, GIVEN, SURE = 5, 0.05, 0.9
-#: Columns that languages and sources are hashed to.
-BUCKETS = 16
+#: Columns that languages and sources are hashed to, and columns of words, with a stronger ridge for each of those.
+BUCKETS, WORDS, RIDGE = 16, 256, 20.0
 #: Score from which a document counts as good.
 KEEP = 0.5
 
@@ -51,6 +53,19 @@ _KIND[128:] = 6
 _KINDS = _KIND.tobytes()
 
 
+_BUCKET: dict[str, int] = {}
+
+
+def _bucket(word: str) -> int:
+    """The column of a word; a worker remembers some."""
+    found = _BUCKET.get(word)
+    if found is None:
+        if len(_BUCKET) > 200_000:
+            _BUCKET.clear()
+        found = _BUCKET[word] = xxhash.xxh32_intdigest(word.lower()) % WORDS
+    return found
+
+
 def text_view(text: str) -> list[float]:
     data = text.encode()
     n = max(1, len(data))
@@ -65,7 +80,9 @@ def text_view(text: str) -> list[float]:
     lines = [x for x in text.split("\n") if x]
     double = 1 - len(set(lines)) / max(1, len(lines))
     short = sum(1 for w in counts if len(w) == 1) / max(1, len(counts))
-    return [*kind[:7].tolist(), math.sqrt(kind[0]), kind[1] / (kind[1] + kind[2] + 1e-3), top, fresh, again, math.sqrt(again), double, short, (n - kind[4] * n) / m / 10]
+    hashed = np.bincount([_bucket(w) for w in counts], list(counts.values()), WORDS) if counts else np.zeros(WORDS)
+    made = [*kind[:7].tolist(), math.sqrt(kind[0]), kind[1] / (kind[1] + kind[2] + 1e-3), top, fresh, again, math.sqrt(again), double, short, (n - kind[4] * n) / m / 10]
+    return made + np.sqrt(hashed / m).tolist()
 
 
 def meta_view(text: str, lang: str | None, source: str | None) -> list[float]:
@@ -90,8 +107,8 @@ class Model:
         return self.joint.score(np.stack([self.text.logit(a), self.meta.logit(b)], 1))
 
 
-def cotrain(a: np.ndarray, b: np.ndarray, y: np.ndarray, calibrate: np.ndarray, pool_a: np.ndarray, pool_b: np.ndarray) -> Model:
-    """Fit both views on the rows outside ``calibrate`` and the pool, and their combination on ``calibrate``."""
+def cotrain(a: np.ndarray, b: np.ndarray, y: np.ndarray, calibrate: np.ndarray, pool_a: np.ndarray, pool_b: np.ndarray, ridge: float | np.ndarray = 1.0) -> Model:
+    """Fit both views on the rows outside ``calibrate`` and the pool, and their combination on ``calibrate``; ``ridge`` is the first view's."""
     fit_rows = ~calibrate if 0 < calibrate.sum() < len(y) else np.ones(len(y), bool)
     views, pools = (a[fit_rows], b[fit_rows]), (pool_a, pool_b)
     ya = y[fit_rows]
@@ -103,7 +120,7 @@ def cotrain(a: np.ndarray, b: np.ndarray, y: np.ndarray, calibrate: np.ndarray,
         rows = np.array([r for r, _ in taught[v]], np.int64)
         given = np.array([t for _, t in taught[v]], float)
         weight = np.concatenate([np.ones(len(ya)), np.full(len(given), 0.5)])
-        return linear.fit(np.concatenate([views[v], pools[v][rows]]), np.concatenate([ya, given]), 1.0, weight)
+        return linear.fit(np.concatenate([views[v], pools[v][rows]]), np.concatenate([ya, given]), 1.0 if v else ridge, weight)
 
     models = [fitted(0), fitted(1)]
     if len(pool_a) and 0 < rate < 1:
@@ -135,11 +152,11 @@ def _views(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, lang, source = (batch.column(i).to_pylist() for i in range(3))
-            a = [text_view(t) for t in text]
-            b = [meta_view(*r) for r in zip(text, lang, source, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.list_(pa.float64())), pa.array(b, pa.list_(pa.float64())), batch.column(3), batch.column(4)], names=["a", "b", "y", "calibrate"])
+            a = [np.array(text_view(t)).tobytes() for t in text]
+            b = [np.array(meta_view(*r)).tobytes() for r in zip(text, lang, source, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), batch.column(3), batch.column(4)], names=["a", "b", "y", "calibrate"])
 
-    return docs.mapInArrow(released(run), "a array<double>, b array<double>, y int, calibrate boolean")
+    return docs.mapInArrow(released(run), "a binary, b binary, y int, calibrate boolean")
 
 
 def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SAMPLE, pool: int = POOL) -> Model:
@@ -149,20 +166,21 @@ def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SA
     unknown = sampled(ids, pool, "pool").select("doc_id", F.lit(None).cast("int").alias("y"), F.lit(False).alias("labelled"))
     wanted = scratch.keep(known.unionByName(unknown), "ids")
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
-    rows = rows.join(F.broadcast(wanted), "doc_id")
+    rows = rows.join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct("text", "lang", "source")).alias("r")).select("doc_id", "y", "r.*")
     apart = F.crc32(F.concat(F.lit("c:"), F.col("doc_id").cast("string")).cast("binary")) % 4 == 0
-    # bounded by the two sample sizes
+    # one row for each id: bounded by the two sample sizes
     got = _views(rows.select("text", "lang", "source", "y", apart.alias("calibrate"))).collect()
-    got.sort(key=lambda r: (r.y is None, r.y, r.a, r.b))
+    got.sort(key=lambda r: (r.y is None, r.y, bytes(r.a), bytes(r.b)))
     taught, other = [r for r in got if r.y is not None], [r for r in got if r.y is None]
     wide_a, wide_b = len(text_view("")), len(meta_view("", None, None))
 
     def matrix(rows: list, of: str, wide: int) -> np.ndarray:
-        return np.array([r[of] for r in rows], float).reshape(-1, wide)
+        return np.frombuffer(b"".join(bytes(r[of]) for r in rows)).reshape(-1, wide)
 
     y = np.array([r.y for r in taught], float)
     calibrate = np.array([r.calibrate for r in taught], bool)
-    return cotrain(matrix(taught, "a", wide_a), matrix(taught, "b", wide_b), y, calibrate, matrix(other, "a", wide_a), matrix(other, "b", wide_b))
+    ridge = np.where(np.arange(wide_a) < wide_a - WORDS, 1.0, RIDGE)
+    return cotrain(matrix(taught, "a", wide_a), matrix(taught, "b", wide_b), y, calibrate, matrix(other, "a", wide_a), matrix(other, "b", wide_b), ridge)
 
 
 def score(docs: DataFrame, model: Model, score_col: str = "quality_score") -> DataFrame:

@@ -53,4 +53,27 @@ def test_sample_ignores_held_out_labels(spark, sf):
 def test_logistic_of_one_class():
     m = linear.fit(np.ones((4, 2)), np.ones(4))
     assert m.score(np.zeros((1, 2)))[0] > 0.5
-    assert random.Random(0) is not None
+
+
+def test_the_text_view_learns_words(spark):
+    # good and bad texts are made alike and differ in words alone; language and source tell nothing
+    rnd = random.Random(3)
+    words = [f"{a}{b}{c}" for a in "bdklm" for b in "aeiou" for c in "nrst"]
+    good, bad, common = words[:20], words[20:40], words[40:]
+    rows, marks = [], []
+    for i in range(1200):
+        y = i % 2
+        rows.append((i, " ".join(rnd.choice((good if y else bad) if rnd.random() < 0.2 else common) for _ in range(60)), "en", "x"))
+        marks.append((i, y, 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame(marks[:800], "doc_id long, quality int, toxic int")
+    got = quality.classified(docs, labels, Scratch(spark, "test")).collect()
+    right = [r.predicted == r.doc_id % 2 for r in got if r.held_out or r.doc_id >= 800]
+    assert len(right) > 400 and sum(right) >= 0.9 * len(right)
+
+
+def test_repeated_ids_do_not_grow_the_sample(spark):
+    docs = spark.createDataFrame([(1, f"text {i}", "en", "x") for i in range(500)] + [(i, "good text" if i % 2 else "### $$$", "en", "x") for i in range(2, 60)], "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 60)], "doc_id long, quality int, toxic int")
+    got = quality.classified(docs, labels, Scratch(spark, "test")).collect()
+    assert len(got) == 558 and all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in got if r.doc_id > 1)
