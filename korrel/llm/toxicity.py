@@ -8,10 +8,12 @@ innocent documents of the sample use as words are left out, and how far to trust
 document of the sample has.
 
 Around every hit a window of words and marks tells quotation (quotation marks, reporting words, talk about words) from abuse
-(address in the second person); a hit in a quotation counts less. The summed weights of the hits go through a logistic model.
+(address in the second person); how much less a hit in a quotation counts is learnt. The summed weights of the hits go through a logistic model.
 
 Cases: a null or empty text, and one without hits, gets the score of no hits. Texts are read whole. Labels are looked up by
-doc_id only while learning. Without any label of one kind the score is a constant below one half.
+doc_id only while learning; of rows that share a labelled id one is learnt from, the least by text. Without any label of one
+kind the score is a constant below one half. Repeated rows get equal scores; an empty table gives an empty one. Extra columns stay
+in ``score``, but those named toxicity, hits and quoted, which are replaced.
 """
 
 from __future__ import annotations
@@ -178,12 +180,16 @@ def choose(counts: dict[str, tuple[int, int]], toxic: int, other: int) -> list[s
     return sorted(out)
 
 
+#: What a hit in a quotation may count, of one elsewhere.
+QUOTED = (0.25, 0.05, 0.5, 1.0)
+
+
 @dataclass
 class Model:
     terms: list[str]
     weight: dict[tuple[int, int], float] = field(default_factory=dict)
     innocent: frozenset = frozenset()
-    quoted: float = 0.25
+    quoted: float = QUOTED[0]
     fitted: linear.Logistic | None = None
 
 
@@ -226,9 +232,13 @@ class Scorer:
 
     def features(self, text: str) -> tuple[float, float, float, int]:
         """Summed and greatest weight of the hits, the share in quotations, and their number."""
+        return self.weighed(self.hits(text), self.model.quoted)
+
+    def weighed(self, hits: list[tuple[int, int, str, float]], weight: float) -> tuple[float, float, float, int]:
+        """The same of hits, where one in a quotation counts ``weight``."""
         total, most, quoted, n = 0.0, 0.0, 0.0, 0
-        for e, k, _, q in self.hits(text):
-            w = self.model.weight.get((k, e), 0.0) * (1 - (1 - self.model.quoted) * q)
+        for e, k, _, q in hits:
+            w = self.model.weight.get((k, e), 0.0) * (1 - (1 - weight) * q)
             if w > 0:
                 total += w
                 most = max(most, w)
@@ -246,7 +256,7 @@ def _words_key(text: str) -> int:
 def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SAMPLE) -> Model:
     """A model from about ``sample`` labelled rows of ``docs(doc_id, text)`` outside the held-out fold."""
     wanted = learnable(labels, "toxic", sample)
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(wanted), "doc_id").select("text", "y")
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("text", "y")
     rows = scratch.keep(rows, "sample")  # a bounded table, read three times
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,21 +291,24 @@ def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SA
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(bare)
         for batch in batches:
-            hits = [[(e, k, w, q) for e, k, w, q in scorer.hits(t)] for t in batch.column(0).to_pylist()]
-            kind = pa.list_(pa.struct([("e", pa.int32()), ("k", pa.int32()), ("w", pa.string()), ("q", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([[dict(zip("ekwq", x, strict=True)) for x in h] for h in hits], kind)], names=["y", "hits"])
-
-    met = rows.mapInArrow(released(meet), "y int, hits array<struct<e:int,k:int,w:string,q:double>>").collect() if model.terms else []
-    docs_with: dict[str, Counter] = defaultdict(Counter)
-    for r in met:
-        for w, e, k in {(h.w, h.e, h.k) for h in r.hits if h.e}:
-            docs_with[w][r.y] += 1
-    model.innocent = frozenset(w for w, c in docs_with.items() if c[0])
-    novel: dict[tuple[int, int], Counter] = defaultdict(Counter)
-    for r in met:
-        for h in r.hits:
-            if h.e and sum(docs_with[h.w].values()) == 1:
-                novel[h.k, h.e][r.y] += 1
+            out = []
+            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                many = Counter((w, e, k) for e, k, w, _ in scorer.hits(text) if e)
+                out += [(w, e, k, y, n) for (w, e, k), n in many.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate((pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64()))], names=["w", "e", "k", "y", "n"])
+
+    novel: dict[tuple[int, int], list[int]] = defaultdict(lambda: [0, 0])
+    innocent = set()
+    if model.terms:
+        met = rows.mapInArrow(released(meet), "w string, e int, k int, y int, n long").groupBy("w", "e", "k")
+        met = met.agg(F.count_if(F.col("y") == 0).alias("other"), F.count_if(F.col("y") == 1).alias("toxic"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("n1"))
+        for r in met.collect():  # a row for each distinct word of the sample that is some edits from a term
+            if r.other:
+                innocent.add(r.w)
+            if r.other + r.toxic == 1:
+                novel[r.k, r.e][0] += r.n0
+                novel[r.k, r.e][1] += r.n1
+    model.innocent = frozenset(innocent)
     for k in range(len(model.terms)):
         for e in (1, 2):
             p, n = novel[k, e][1], novel[k, e][0]
@@ -305,15 +318,20 @@ def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SA
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            x = [scorer.features(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([f[0] for f in x]), pa.array([f[1] for f in x]), pa.array([f[2] for f in x])], names=["y", "total", "most", "quoted"])
+            hits = [scorer.hits(t) for t in batch.column(0).to_pylist()]
+            x = [[v for quoted in QUOTED for v in scorer.weighed(h, quoted)[:3]] for h in hits]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
 
-    got = rows.mapInArrow(released(use), "y int, total double, most double, quoted double").collect() if model.terms else []
-    x = np.array([[r.total, r.most, r.quoted] for r in got]).reshape(-1, 3)
-    y = np.array([r.y for r in got])
+    got = rows.mapInArrow(released(use), "y int, x array<double>").collect() if model.terms else []  # a row for each of the sample
+    x = np.array([r.x for r in got]).reshape(-1, len(QUOTED), 3)
+    y = np.array([r.y for r in got], float)
     if not model.terms:
-        y, x = np.zeros(1), np.zeros((1, 3))
-    model.fitted = linear.fit(x, y, 1.0)
+        y, x = np.zeros(1), np.zeros((1, len(QUOTED), 3))
+    # what a quoted hit counts is learnt too: the weight under which the labels are likeliest, the first one unless another is better
+    fits = [linear.fit(x[:, i], y, 1.0) for i in range(len(QUOTED))]
+    losses = [float((np.logaddexp(0, f.logit(x[:, i])) - y * f.logit(x[:, i])).sum()) for i, f in enumerate(fits)]
+    best = min(range(len(QUOTED)), key=lambda i: (losses[i] > min(losses) + 0.01 * max(1.0, abs(losses[0])), i))
+    model.quoted, model.fitted = QUOTED[best], fits[best]
     return model
 
 
