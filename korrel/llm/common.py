@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,15 +11,17 @@ import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-_OWN_SCRATCH: dict[str, str] = {}
-
+from ..sources import scratch
 
 #: Rows and bytes that Spark hands to a Python worker at once: texts are long, and workers share a small memory.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch limits to what whole texts need (a lower setting stays)."""
+    """Lower the session's Arrow batch limits to what whole texts need (a lower setting stays).
+
+    They stay lower: Spark reads them when a result is computed, which is after the operator has returned it.
+    """
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -54,24 +55,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared:
-        return shared.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_SCRATCH:
-        _OWN_SCRATCH[app] = "file://" + tempfile.mkdtemp(prefix="korrel-")
-    return _OWN_SCRATCH[app]
-
-
 class Scratch:
-    """Tables written once in the shared scratch folder, so that a lost executor costs no recomputation of what led to them."""
+    """Tables written once in the shared scratch folder, so that a lost executor costs no recomputation of what led to them.
+
+    Operators drop what their result does not read; the rest is deleted when the session's JVM ends.
+    """
 
     def __init__(self, spark: SparkSession, tag: str):
         small_batches(spark)
         self.spark = spark
-        self.base = f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+        self.base = f"{scratch.root(spark)}/{tag}-{uuid.uuid4().hex}"
+        scratch.delete_at_end(spark, self.base)
         self._n = 0
 
     def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
@@ -81,21 +75,15 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.base)
-        return jvm, root, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def drop(self, *names: str) -> None:
-        """Delete tables that nothing reads any more (all of this scratch if none is named)."""
-        _, root, fs = self._fs()
-        if not names:
-            fs.delete(root, True)
+    def drop(self, *names: str, but: tuple[str, ...] = ()) -> None:
+        """Delete tables that nothing reads any more: those named, or all of this scratch but ``but``."""
+        root, fs = scratch.filesystem(self.spark, self.base)
+        if not fs.exists(root):
             return
-        if fs.exists(root):
-            for st in fs.listStatus(root):
-                if st.getPath().getName().split("-", 1)[-1] in names:
-                    fs.delete(st.getPath(), True)
+        for st in fs.listStatus(root):
+            name = st.getPath().getName().split("-", 1)[-1]
+            if name in names if names else name not in but:
+                fs.delete(st.getPath(), True)
 
 
 def fresh(df: DataFrame, *wanted: str) -> list[str]:

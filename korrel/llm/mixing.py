@@ -119,7 +119,9 @@ def ends(base: DataFrame, scratch: Scratch) -> DataFrame:
     near = (F.col("upto") <= F.col("missing")) | (F.col("upto") - F.col("missing") < F.col("missing") - (F.col("upto") - F.col("size")))
     inside = last.filter(near).groupBy("name").agg(F.max("rank").alias("upto"))
     ended = second.select("name", F.col("coarse").alias("end_coarse"), F.col("fine").alias("end_fine")).join(inside, "name", "left")
-    return scratch.keep(plan.join(ended, "name", "left"), "ends")
+    out = scratch.keep(plan.join(ended, "name", "left"), "ends")
+    scratch.drop("plan", "first", "second")
+    return out
 
 
 def taken(size: Column, rank: Column, end: Column) -> Column:

@@ -417,6 +417,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, row: str | None = None) -
     if not more.isEmpty():
         label, _ = _labels([*links, more], own_sketch, scratch)
 
+    scratch.drop(but=("features", "links", "rows"))
     firsts = having.groupBy("node").agg(F.min("doc_id").alias("doc_id"), first.alias("first")) if row else reps.withColumn("first", F.lit(None).cast("struct<row: bigint>"))
     of_node = firsts.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id", "first")
     of_label = of_node.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.min("first").alias("first"))

@@ -250,6 +250,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     scratch.drop("triggers")
     by_cover = scratch.keep(hits.groupBy("shared", "cover").agg(F.sum("many").alias("many"), F.min(F.struct("tid", "place")).alias("one")), "covers")
     open_ = by_cover.groupBy("shared").agg(F.count("*").alias("groups"), F.min("many").alias("fewest")).filter("groups > 1 and fewest = 1").select("shared", "groups")
+    open_ = scratch.keep(open_, "open")  # so that the join's stage only joins, and a very frequent content can be split
     wanted = by_cover.join(open_, "shared").select("one.tid", F.struct("shared", "cover", "many", "groups", "one.place").alias("x"))
     wanted = scratch.keep(wanted.groupBy("tid").agg(F.collect_list("x").alias("at")), "wanted")
     once = docs.groupBy("tid").agg(F.first("text").alias("text"))  # of copies one text, before the shuffle
@@ -264,7 +265,9 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     apart = apart.groupBy("shared", "cover").agg(F.flatten(F.collect_list(F.array("before", "before"))).alias("ranges"))
     whole = by_cover.filter("many > 1").select("shared", "cover", F.lit(None).cast("array<int>").alias("ranges"))
     good = scratch.keep(whole.unionByName(ranges).unionByName(apart), "good")
-    return scratch.keep(hits.join(good, ["shared", "cover"]).groupBy("tid").agg(F.collect_list(F.struct("place", "ranges")).alias("at")), "spans")
+    spans = scratch.keep(hits.join(good, ["shared", "cover"]).groupBy("tid").agg(F.collect_list(F.struct("place", "ranges")).alias("at")), "spans")
+    scratch.drop("again", "hits", "covers", "open", "wanted", "contexts", "good")
+    return spans
 
 
 def spans_of(at: list[dict] | None) -> list[tuple[int, int]]:
