@@ -6,7 +6,8 @@ blocks have the same parent. The field is trained on labelled pages (``html_page
 from the forward-backward recursion, and a page is labelled by Viterbi. Its article is the text of the blocks of the first label.
 
 Cases: a null or empty page has an empty text, as has one whose blocks are all of the second label. Pages are read whole, cut or
-broken markup too. Repeated rows get equal results; null urls and ids stay. Extra columns stay in ``extract``.
+broken markup too. Repeated rows get equal results; null urls and ids stay; an empty table gives an empty one. Extra columns stay
+in ``extract``, but one named like the text, which is replaced.
 """
 
 from __future__ import annotations

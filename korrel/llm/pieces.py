@@ -9,7 +9,8 @@ leftmost), so on the text of two neighbours they run in the same order alone as
 across a boundary would be a merge across it in the pair too.
 
 Cases: a null text encodes as the empty text, which has no ids and decodes to the empty text. Characters that the vocabulary
-lacks become byte pieces. Texts have no length limit; identical rows get identical results. Other columns stay as they are.
+lacks become byte pieces. Texts have no length limit; identical rows get identical results; an empty table gives an empty one.
+Other columns stay as they are, but those named like a result, which are replaced.
 """
 
 from __future__ import annotations

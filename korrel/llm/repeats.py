@@ -14,7 +14,8 @@ the start of the parse from that trigger on (a parse suffix). Two windows are eq
    128-bit hashes in one aggregation instead, which gives the same classes.
 
 Cases: a null text is the empty one; texts of under 200 bytes have no window; copies of a text, rows that repeat a doc_id and
-null ids are ordinary rows, for texts are told apart by their own hash. Extra columns stay in ``remove_repeats``.
+null ids are ordinary rows, for texts are told apart by their own hash; an empty table gives an empty one. Extra columns stay in
+``remove_repeats``, but those named like a result, which are replaced.
 """
 
 from __future__ import annotations
