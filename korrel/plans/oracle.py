@@ -333,6 +333,7 @@ def sql() -> dict[str, str]:
         "q_entity_metrics": f"""WITH {SCORED}, t AS (SELECT DISTINCT s1_id, target_id FROM truth), p AS (SELECT s1_id, cand_id AS target_id FROM scored WHERE prob >= {THRESHOLD})
           {_rates("SELECT count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS tp, count(*) FILTER (WHERE a IS NULL) AS fp, count(*) FILTER (WHERE b IS NULL) AS fn FROM (SELECT t.s1_id AS a, p.s1_id AS b FROM t FULL JOIN p ON t.s1_id = p.s1_id AND t.target_id = p.target_id)")}""",
         "q_results": f"WITH {SCORED}, {_RESULTS} SELECT * FROM results",
+        "q_results_at_best": f"WITH {SCORED}, sw AS ({_SWEEP}), best AS (SELECT threshold FROM sw ORDER BY floor(f_beta * 10000 + CAST(0.5 AS DOUBLE)) DESC, threshold LIMIT 1), {_RESULTS.replace(f'>= {THRESHOLD}', '>= (SELECT threshold FROM best)')} SELECT * FROM results",
         "q_results_summary": f"WITH {SCORED}, {_RESULTS} SELECT count(*) AS entities, count(*) FILTER (WHERE matched_entity_ids <> '') AS with_match, count(*) FILTER (WHERE matched_entity_ids = '') AS without_match FROM results",
         "q_validate": f"""WITH {SCORED}, {_RESULTS}, own AS (SELECT source1_entity_id AS s1_id, unnest(list_filter(string_split(matched_entity_ids, ','), lambda x: x <> '')) AS target_id FROM results), s AS (SELECT entity_id FROM ent WHERE source = 'S1')
           SELECT 'columns' AS rule, CAST(0 AS BIGINT) AS violations, 'candidates' AS checked

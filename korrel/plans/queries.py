@@ -366,6 +366,16 @@ def q_results(spark, sf_dir):
     return results.assemble(E.s1(ents), results.matches(E.scored(ents), THRESHOLD))
 
 
+@query
+def q_results_at_best(spark, sf_dir):
+    """What prediction does with scores: a threshold chosen on labelled pairs, then one row for each entity of source 1."""
+    ents = E.entities(spark, sf_dir)
+    scored = E.scored(ents)
+    best = metrics.best(metrics.sweep(training.label(scored, E.truth(ents)).join(scored, ["s1_id", "cand_id"]))).first()
+    cut = models.threshold(None, {"selected_threshold": best.threshold}, None)
+    return results.assemble(E.s1(ents), results.matches(scored, cut))
+
+
 @query
 def q_results_summary(spark, sf_dir):
     return results.summary(q_results(spark, sf_dir))

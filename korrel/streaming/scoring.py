@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import features, models
+from ..sources.scratch import kept
 
 SCHEMA = "source1_entity_id string, candidate_entity_ids string"
 
@@ -21,7 +22,7 @@ def pair_stream(spark: SparkSession, folder: str, files_per_batch: int = 1) -> D
 
 def score_stream(pairs: DataFrame, model: PipelineModel, left: DataFrame, right: DataFrame, threshold: float, out: str, checkpoint: str) -> StreamingQuery:
     """Write matches of a stream of pairs to Parquet, exactly once per file. Entities are prepared once and joined in each batch."""
-    left, right = features.prepare(left).persist(), features.prepare(right).persist()
+    left, right = kept(features.prepare(left), "left"), kept(features.prepare(right), "right")
     columns = features.columns()
 
     def batch(rows: DataFrame, number: int) -> None:
