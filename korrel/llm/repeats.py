@@ -10,8 +10,10 @@ the start of the parse from that trigger on (a parse suffix). Two windows are eq
 2. Of the others, triggers whose whole cover stands elsewhere too are repeated throughout, without a look at the bytes.
 3. What remains are the edges of repeats. For each trigger content, the distinct phrase suffixes and parse suffixes are sorted
    into two suffix arrays with the lengths of common parts of neighbours; runs of the two orders combine into the classes of
-   equal windows. A trigger content with more than ``GROUP`` distinct covers is split: its windows are counted by their own
-   128-bit hashes in one aggregation instead, which gives the same classes.
+   equal windows. A trigger content with more than ``SPLIT`` distinct covers, such as a line that very many texts have, is cut by
+   ranges of ``RANGE`` window starts: the bytes that all windows of a range have tell groups apart, and each group has its own
+   suffix arrays. Only where more than ``GROUP`` covers agree in those, too, all but ``RANGE`` - 1 bytes of a window, single
+   windows are counted by 128-bit hashes instead, which gives the same classes.
 
 Cases: a null text is the empty one; texts of under 200 bytes have no window; copies of a text, rows that repeat a doc_id and
 null ids are ordinary rows, for texts are told apart by their own hash; an empty table gives an empty one. Extra columns stay in
@@ -34,8 +36,10 @@ from .shingles import U, mix
 
 WINDOW, SPAN, GRAM = 200, 128, 16
 SHARED = WINDOW - SPAN + 1
-#: Distinct covers of one trigger content that a task sorts at most, and those that it takes up at once.
-GROUP, AT_ONCE = 20_000, 40_000
+#: Distinct covers from which a trigger content is cut, window starts of a range, and distinct covers that a task sorts at most.
+SPLIT, RANGE, GROUP = 256, 16, 20_000
+#: Covers that a task takes up at once.
+AT_ONCE = 40_000
 #: Bytes of a text that are cut at once; longer texts are cut in overlapping pieces.
 PIECE = 1 << 18
 _LOW = U((1 << 24) - 1)
@@ -134,6 +138,7 @@ def triggers(texts: DataFrame) -> DataFrame:
 
 
 COVERS = "shared long, cover long, many long, groups long, least int, most int, suffix binary, parse binary"
+GROUPED = "key long, shared long, cover long, many long, least int, most int, suffix binary, parse binary"
 
 
 def covers(wanted: DataFrame) -> DataFrame:
@@ -157,6 +162,25 @@ def covers(wanted: DataFrame) -> DataFrame:
     return wanted.mapInArrow(released(run), COVERS)
 
 
+def by_ranges(contexts: DataFrame) -> DataFrame:
+    """Covers cut into ranges of window starts; ``key`` is a hash of the bytes that all windows of a range have."""
+    schema = pa.schema([("key", pa.int64()), ("shared", pa.int64()), ("cover", pa.int64()), ("many", pa.int64()), ("least", pa.int32()), ("most", pa.int32()), ("suffix", pa.binary()), ("parse", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1024):
+                out = []
+                for shared, cover, many, _, least, most, suffix, parse in zip(*(c.to_pylist() for c in batch.slice(k, 1024).columns), strict=True):
+                    for lo in range(least // RANGE * RANGE, most + 1, RANGE):
+                        a, b = max(least, lo), min(most, lo + RANGE - 1)
+                        common = suffix[len(suffix) - lo :] + parse[: WINDOW - lo - RANGE + 1]
+                        key = xxhash.xxh3_64_intdigest(common, lo) - (1 << 63)
+                        out.append((key, shared, cover, many, a, b, suffix[len(suffix) - b :], parse[: WINDOW - a]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+    return contexts.mapInArrow(released(run), GROUPED)
+
+
 def _suffix_array(key: np.ndarray, rows: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order of the rows by (key, bytes), whether the key changes before each, and the common length with the one before."""
     data = np.zeros((len(rows), 8 + width), np.uint8)
@@ -195,13 +219,13 @@ SPANS = "shared long, cover long, ranges array<int>"
 
 
 def edges(contexts: DataFrame) -> DataFrame:
-    """Ranges of repeated windows, as bytes before the trigger (from, to, from, to ...), of covers sorted by ``shared``."""
+    """Ranges of repeated windows, as bytes before the trigger (from, to, from, to ...), of covers sorted by ``key``."""
     schema = pa.schema([("shared", pa.int64()), ("cover", pa.int64()), ("ranges", pa.list_(pa.int32()))])
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        shared, cover, many, _, least, most, suffix, parse = zip(*rows, strict=True)
+        key, shared, cover, many, least, most, suffix, parse = zip(*rows, strict=True)
         many_, least_, most_ = (np.array(x, np.int64) for x in (many, least, most))
-        found = repeated(np.array(shared, np.int64).view(U), list(suffix), list(parse), many_, least_, most_)
+        found = repeated(np.array(key, np.int64).view(U), list(suffix), list(parse), many_, least_, most_)
         found[many_ > 1] = False  # these are repeated throughout, and known
         turn = np.diff(np.pad(found.astype(np.int8), ((0, 0), (1, 1))), axis=1)
         row, up = np.nonzero(turn == 1)
@@ -233,7 +257,7 @@ def single_windows(contexts: DataFrame) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 out = []
-                for shared, cover, many, _, least, most, suffix, parse in zip(*(c.to_pylist() for c in batch.slice(k, 256).columns), strict=True):
+                for _, shared, cover, many, least, most, suffix, parse in zip(*(c.to_pylist() for c in batch.slice(k, 256).columns), strict=True):
                     whole = suffix + parse
                     out += [(shared, cover, many, a, xxhash.xxh3_128_digest(whole[most - a : most - a + WINDOW])) for a in range(least, most + 1)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
@@ -258,16 +282,20 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     contexts = covers(once.join(wanted, "tid").select("text", "at"))
     names = [c for c in contexts.columns if c not in ("shared", "cover")]
     contexts = scratch.keep(contexts.groupBy("shared", "cover").agg(*(F.first(c).alias(c) for c in names)), "contexts")
-    few = contexts.filter(F.col("groups") <= GROUP)
-    ranges = edges(few.repartition("shared").sortWithinPartitions("shared"))
-    windows = single_windows(contexts.filter(F.col("groups") > GROUP))
+    alone = contexts.filter(F.col("groups") <= SPLIT).select(F.col("shared").alias("key"), *(c for c in contexts.columns if c != "groups"))
+    parts = scratch.keep(by_ranges(contexts.filter(F.col("groups") > SPLIT)), "parts")
+    groups = parts.groupBy("key").agg(F.count("*").alias("n"), F.min("many").alias("fewest")).filter("n > 1 and fewest = 1").select("key", "n")
+    parts = parts.join(scratch.keep(groups, "groups"), "key")
+    few = alone.unionByName(parts.filter(F.col("n") <= GROUP).drop("n"))
+    ranges = edges(few.repartition("key").sortWithinPartitions("key"))
+    windows = single_windows(parts.filter(F.col("n") > GROUP).drop("n"))
     twice = windows.groupBy("shared", "before", "window").agg(F.sum("many").alias("n")).filter("n > 1")
     apart = windows.filter("many = 1").join(twice.select("shared", "before", "window"), ["shared", "before", "window"])
     apart = apart.groupBy("shared", "cover").agg(F.flatten(F.collect_list(F.array("before", "before"))).alias("ranges"))
     whole = by_cover.filter("many > 1").select("shared", "cover", F.lit(None).cast("array<int>").alias("ranges"))
     good = scratch.keep(whole.unionByName(ranges).unionByName(apart), "good")
     spans = scratch.keep(hits.join(good, ["shared", "cover"]).groupBy("tid").agg(F.collect_list(F.struct("place", "ranges")).alias("at")), "spans")
-    scratch.drop("again", "hits", "covers", "open", "wanted", "contexts", "good")
+    scratch.drop("again", "hits", "covers", "open", "wanted", "contexts", "parts", "groups", "good")
     return spans
 
 

@@ -49,14 +49,27 @@ def corpus(seed):
     return texts
 
 
-@pytest.mark.parametrize("group", [20_000, 2])
-def test_same_as_brute_force(spark, monkeypatch, group):
-    monkeypatch.setattr(repeats, "GROUP", group)
-    monkeypatch.setattr(repeats, "AT_ONCE", 50)
-    texts = corpus(group)
+@pytest.mark.parametrize(("split", "group", "wide"), [(256, 20_000, 16), (1, 20_000, 16), (1, 20_000, 3), (1, 1, 16), (2, 3, 50)])
+def test_same_as_brute_force(spark, monkeypatch, split, group, wide):
+    for name, value in (("SPLIT", split), ("GROUP", group), ("RANGE", wide), ("AT_ONCE", 50)):
+        monkeypatch.setattr(repeats, name, value)
+    texts = corpus(split + group + wide)
     assert run(spark, texts) == brute(texts)
 
 
+def test_a_line_that_all_texts_have(spark):
+    # 400 texts share 150 bytes, some of them 220, with other bytes around: production parameters split the contents of the line
+    rnd = random.Random(12)
+
+    def prose(n):
+        return "".join(rnd.choice("abcdefgh \n") for _ in range(n))
+
+    line, more = prose(150), prose(70)
+    texts = [prose(160) + line + (more if i % 9 == 0 else "") + prose(160) for i in range(400)]
+    got, want = run(spark, texts), brute(texts)
+    assert got == want and sum(r[1] > 0 for r in got) == 45
+
+
 def test_long_texts_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(repeats, "PIECE", 700)
     texts = corpus(3)
