@@ -27,3 +27,10 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["source1_entity_id", "candidate_entity_ids"] and df.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_without_a_library_of_the_optional_parts():
+    for name in ("ahocorasick", "sentencepiece", "xxhash"):
+        code = f"import sys; sys.modules['{name}'] = None; import __spark_entry__ as e; q = e.queries(); assert 'q_block_all' in q and 'op6_pieces' not in q; assert set(e.oracle_sql()) <= set(q)"
+        done = subprocess.run([sys.executable, "-B", "-c", code], cwd=ROOT, env={**os.environ, "PYTHONPATH": ROOT}, capture_output=True, text=True)
+        assert done.returncode == 0, done.stderr
