@@ -36,6 +36,8 @@ from .shingles import U, mix, shingle_hashes
 SHINGLE, NUM, DEN = 5, 75, 100
 #: Signature positions, those of them that the roots of the trees choose, and the most members that are compared exhaustively.
 POSITIONS, ROOT_PATHS, LEAF, DEPTH = 128, 32, 8192, 12
+#: Members of the largest component that are compared with the others at once.
+CELL = 1024
 #: A larger node is compared too, in blocks, if that takes at most so many comparisons a member.
 EASY = 512
 #: Of POSITIONS two-bit minima, the fewest that must agree: at a similarity of 0.75 104 are expected, with a deviation of 4.4.
@@ -337,16 +339,17 @@ def _mixed(open_: DataFrame, sketched: DataFrame, scratch: Scratch) -> DataFrame
 def _cells(members: DataFrame) -> DataFrame:
     """Members (path, pos, node, label, many, others, top) dealt to the cells that are compared, as their path.
 
-    A path of at most ``LEAF`` members is one cell. A larger one is cut into blocks of about so many. Where the components beside
-    the largest one are few, their members go to every block, so that each pair of two components meets in one at least; where they are
-    many, every two blocks make a cell. So no cell grows with the path.
+    Where the components beside the largest one have at most ``CELL`` members, the path is cut into blocks of about so many, and
+    those members go to every block, so that each pair of two components meets in one at least. Else a path of at most ``LEAF``
+    members is one cell, and of a larger one every two blocks of so many make a cell. So no cell grows with the path.
     """
-    blocks = F.ceil(F.col("many") / LEAF).cast("long")
+    few = F.col("others") <= CELL
+    blocks = F.ceil(F.col("many") / F.when(few, CELL).otherwise(LEAF)).cast("long")
     own = F.pmod(F.xxhash64("node", F.lit("block")), blocks)
     every = F.sequence(F.lit(0).cast("long"), blocks - 1)
     beside = F.when(F.col("label") == F.col("top"), F.array(own)).otherwise(every)
     pairs = F.transform(every, lambda x: F.least(x, own) * blocks + F.greatest(x, own))
-    cells = F.when(blocks <= 1, F.array(F.lit(0).cast("long"))).when(F.col("others") <= LEAF, beside).otherwise(pairs)
+    cells = F.when(blocks <= 1, F.array(F.lit(0).cast("long"))).when(few, beside).otherwise(pairs)
     cell = F.explode(cells).alias("cell")
     rest = [c for c in members.columns if c not in ("path", "many", "others", "top")]
     return members.select(F.when(blocks <= 1, F.col("path")).alias("alone"), "path", *rest, cell).select(F.coalesce("alone", F.xxhash64("path", "cell", F.lit("cell"))).alias("path"), *rest)

@@ -130,6 +130,7 @@ def test_a_root_that_is_not_compared_hides_no_pair(spark, n):
 @pytest.mark.parametrize(("others", "leaf"), [(5, 8), (60, 8), (0, 200), (60, 200)])
 def test_every_two_components_meet_in_a_cell(spark, monkeypatch, others, leaf):
     monkeypatch.setattr(neardup, "LEAF", leaf)
+    monkeypatch.setattr(neardup, "CELL", leaf)
     nodes = [(i, b"%04d" % i, b"top" if i >= others else b"%03d" % (i // 2)) for i in range(90)]
     df = spark.createDataFrame([(7, 0, n, x, 90, others, b"top") for _, n, x in nodes], "path long, pos int, node binary, label binary, many long, others long, top binary")
     cells = {}
@@ -143,7 +144,7 @@ def test_every_two_components_meet_in_a_cell(spark, monkeypatch, others, leaf):
 
 @pytest.mark.parametrize("easy", [0, 10**9])
 def test_large_paths_in_blocks(spark, monkeypatch, easy):
-    for name, value in (("LEAF", 6), ("EASY", easy), ("BLOCK", 5), ("DEPTH", 1)):
+    for name, value in (("LEAF", 6), ("CELL", 4), ("EASY", easy), ("BLOCK", 5), ("DEPTH", 1)):
         monkeypatch.setattr(neardup, name, value)
     rnd = random.Random(8)
     vocab = [f"w{i}" for i in range(400)]
