@@ -20,9 +20,9 @@ def shuffled(*ids: str, seed: str = "") -> Column:
 
 
 def label(pairs: DataFrame, truth: DataFrame) -> DataFrame:
-    """``pairs(s1_id, cand_id)`` with label 1 for a true link ``truth(s1_id, target_id)``, else 0."""
+    """``pairs(s1_id, cand_id, …)`` with label 1 for a true link ``truth(s1_id, target_id)``, else 0."""
     true = truth.select("s1_id", F.col("target_id").alias("cand_id"), F.lit(1).alias("hit")).distinct()
-    return pairs.join(true, ["s1_id", "cand_id"], "left").select("s1_id", "cand_id", F.coalesce("hit", F.lit(0)).alias("label"))
+    return pairs.join(true, ["s1_id", "cand_id"], "left").select(*pairs.columns, F.coalesce("hit", F.lit(0)).alias("label"))
 
 
 def positives(truth: DataFrame, s1: DataFrame, targets: DataFrame, cap: int) -> DataFrame:

@@ -72,9 +72,9 @@ def truth(ents: DataFrame) -> DataFrame:
     return left.join(right, ["country", "same"]).select("s1_id", "target_id")
 
 
-def scored(ents: DataFrame, max_freq: int = 25) -> DataFrame:
-    """(s1_id, cand_id, prob) of blocking candidates, with a fixed score of three set similarities; written once."""
-    pairs = blocking.candidates(ents, max_freq)
+def scored(ents: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """(s1_id, cand_id, prob) of the pairs, by default of the blocking candidates, with a fixed score of three set similarities; written once."""
+    pairs = blocking.candidates(ents, 25) if pairs is None else pairs
     names = ("name_jaccard_word", "addr_jaccard_word", "name_jaccard_char_3gram")
     f = features.pair_features(pairs, s1(ents), targets(ents), names)
     return kept(f.select("s1_id", "cand_id", (0.4 * F.col(names[0]) + 0.4 * F.col(names[1]) + 0.2 * F.col(names[2])).alias("prob")), "scored")

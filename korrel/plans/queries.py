@@ -329,8 +329,7 @@ def q_class_weights(spark, sf_dir):
 
 def _labelled(spark, sf_dir):
     ents = E.entities(spark, sf_dir)
-    scored = E.scored(ents)
-    return training.label(scored, E.truth(ents)).join(scored, ["s1_id", "cand_id"])
+    return training.label(E.scored(ents), E.truth(ents))
 
 
 @query
@@ -371,7 +370,7 @@ def q_results_at_best(spark, sf_dir):
     """What prediction does with scores: a threshold chosen on labelled pairs, then one row for each entity of source 1."""
     ents = E.entities(spark, sf_dir)
     scored = E.scored(ents)
-    best = metrics.best(metrics.sweep(training.label(scored, E.truth(ents)).join(scored, ["s1_id", "cand_id"]))).first()
+    best = metrics.best(metrics.sweep(training.label(scored, E.truth(ents)))).first()
     cut = models.threshold(None, {"selected_threshold": best.threshold}, None)
     return results.assemble(E.s1(ents), results.matches(scored, cut))
 
@@ -384,9 +383,10 @@ def q_results_summary(spark, sf_dir):
 @query
 def q_validate(spark, sf_dir):
     ents = E.entities(spark, sf_dir)
-    pairs = blocking.candidates(ents, 25)
+    pairs = kept(blocking.candidates(ents, 25), "pairs")
     candidates = results.check_candidates(blocking.grouped(E.s1(ents), pairs), E.truth(ents))
-    found = results.check_results(q_results(spark, sf_dir), E.s1(ents), pairs)
+    table = kept(results.assemble(E.s1(ents), results.matches(E.scored(ents, pairs), THRESHOLD)), "results")
+    found = results.check_results(table, E.s1(ents), pairs)
     return candidates.withColumn("checked", F.lit("candidates")).unionByName(found.withColumn("checked", F.lit("results")))
 
 
