@@ -33,6 +33,15 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A batch function that hands freed memory back to the system when its task ends: workers idle on between tasks."""
 
@@ -40,11 +49,7 @@ def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterat
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            give_back()
 
     return wrapped
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import linear
-from .common import Scratch, released
+from .common import Scratch, give_back, released
 from .samples import held_out, learnable, sampled
 
 #: Labelled and unlabelled documents that are learnt from, at most about so many.
@@ -39,7 +39,7 @@ SAMPLE, POOL = 8_000, 8_000
 #: Rounds of exchange, pseudo-labels that a view gives in one as a share of the pool, and how sure of them it must be.
 ROUNDS, GIVEN, SURE = 5, 0.05, 0.9
 #: Columns that languages and sources are hashed to, and columns of words, with a stronger ridge for each of those.
-BUCKETS, WORDS, RIDGE = 16, 256, 20.0
+BUCKETS, WORDS, RIDGE = 16, 64, 20.0
 #: Score from which a document counts as good.
 KEEP = 0.5
 
@@ -152,8 +152,8 @@ def _views(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, lang, source = (batch.column(i).to_pylist() for i in range(3))
-            a = [np.array(text_view(t)).tobytes() for t in text]
-            b = [np.array(meta_view(*r)).tobytes() for r in zip(text, lang, source, strict=True)]
+            a = [np.array(text_view(t), np.float32).tobytes() for t in text]
+            b = [np.array(meta_view(*r), np.float32).tobytes() for r in zip(text, lang, source, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), batch.column(3), batch.column(4)], names=["a", "b", "y", "calibrate"])
 
     return docs.mapInArrow(released(run), "a binary, b binary, y int, calibrate boolean")
@@ -175,12 +175,17 @@ def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SA
     wide_a, wide_b = len(text_view("")), len(meta_view("", None, None))
 
     def matrix(rows: list, of: str, wide: int) -> np.ndarray:
-        return np.frombuffer(b"".join(bytes(r[of]) for r in rows)).reshape(-1, wide)
+        return np.frombuffer(b"".join(bytes(r[of]) for r in rows), np.float32).reshape(-1, wide).astype(float)
 
     y = np.array([r.y for r in taught], float)
     calibrate = np.array([r.calibrate for r in taught], bool)
     ridge = np.where(np.arange(wide_a) < wide_a - WORDS, 1.0, RIDGE)
-    return cotrain(matrix(taught, "a", wide_a), matrix(taught, "b", wide_b), y, calibrate, matrix(other, "a", wide_a), matrix(other, "b", wide_b), ridge)
+    sides = [matrix(rows, of, wide) for rows in (taught, other) for of, wide in (("a", wide_a), ("b", wide_b))]
+    del got, taught, other
+    model = cotrain(sides[0], sides[1], y, calibrate, sides[2], sides[3], ridge)
+    del sides
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, score_col: str = "quality_score") -> DataFrame:
