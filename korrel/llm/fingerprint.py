@@ -118,7 +118,8 @@ def _borders(keys: DataFrame) -> DataFrame:
     share = int(min(1.0, bound / max(n, 1)) * (1 << 31))
     some = keys.filter(F.pmod(F.xxhash64("key.row", "key.tie", F.lit("borders")), F.lit(1 << 31)) < share)
     row = some.agg(F.sort_array(F.collect_list("key")).alias("s"))
-    cuts = F.transform(F.sequence(F.lit(1), F.lit(max(1, blocks - 1))), lambda i: F.get("s", F.floor(i * F.size("s") / blocks).cast("int")))
+    # a border's number times the sample's size is beyond 32 bits from about 11,600 blocks on
+    cuts = F.transform(F.sequence(F.lit(1), F.lit(max(1, blocks - 1))), lambda i: F.get("s", F.floor(i.cast("long") * F.size("s") / blocks).cast("int")))
     # without any document, or with one block, there is no border
     row = row.select(F.when((F.size("s") > 0) & F.lit(blocks > 1), cuts).otherwise(F.slice("s", 1, 0)).alias("cuts"))
     runs = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size("cuts") - 1, F.lit(0)) / RUN).cast("int")), lambda i: F.slice("cuts", i * RUN + 1, RUN))
@@ -127,11 +128,16 @@ def _borders(keys: DataFrame) -> DataFrame:
 
 
 def _placed(rows: DataFrame, borders: DataFrame) -> DataFrame:
-    """``rows(key, ...)`` with the number of their block: the borders that are not above their key."""
+    """``rows(key, ...)`` with the number of their block: the borders that are not above their key.
+
+    A join copies what it adds into each row: the first borders of the runs, then those of one run, never all of them.
+    """
     own = rows.columns
-    rows = rows.join(F.broadcast(borders))  # a single row of bounded size
-    rows = rows.withColumn("run", F.size(F.filter("heads", lambda h: h <= F.col("key"))) - 1)
-    inside = F.size(F.filter(F.get("runs", F.col("run")), lambda b: b <= F.col("key")))
+    rows = rows.join(F.broadcast(borders.select("heads")))  # a single row of bounded size
+    rows = rows.select(*own, (F.size(F.filter("heads", lambda h: h <= F.col("key"))) - 1).alias("run"))
+    runs = borders.select(F.posexplode("runs").alias("run", "cuts"))
+    rows = rows.join(F.broadcast(runs), "run", "left")
+    inside = F.size(F.filter("cuts", lambda b: b <= F.col("key")))
     return rows.select(*own, F.when(F.col("run") < 0, 0).otherwise(F.col("run") * RUN + inside).alias("block"))
 
 

@@ -127,3 +127,17 @@ def test_blocks_with_outlying_null_and_repeated_ids(spark, monkeypatch):
         h = len(t) // 2
         want.append((d, t[: len(t) - h] + n[:h]))
     assert sorted(((r.doc_id, r.edited) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_borders_of_many_blocks(spark, monkeypatch):
+    # a border's number times the sample's size goes beyond 32 bits, as it does from 3 million documents on
+    n = 50_000
+    monkeypatch.setattr(fingerprint, "BLOCK", 1)
+    monkeypatch.setattr(fingerprint, "BLOCKS", n)
+    monkeypatch.setattr(fingerprint, "SAMPLED", 1)
+    scratch = Scratch(spark, "test")
+    keys = scratch.keep(spark.range(n).select(F.col("id").alias("doc_id"), F.lit("t").alias("text")).withColumn("key", fingerprint._key()).select("key"))
+    placed = fingerprint._placed(keys, scratch.keep(fingerprint._borders(keys))).select("key.down", "block").collect()
+    scratch.drop()
+    # the whole order is the sample, so that each document is a block of its own: ids descend as blocks rise
+    assert sorted((r.block, ~r.down) for r in placed) == [(i, n - 1 - i) for i in range(n)]
